@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: in
     """Arrow batches cut so that each slice holds about `limit` bytes of text, or one longer row."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
             if total and total + size > limit:
