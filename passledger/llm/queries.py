@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passledger.llm import decontam, mixing, topk
+from passledger.llm import decontam, mixing, neardup, topk, toxicity
 from passledger.llm.common import word_count
 
 
@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold_of(id_col: str, folds: int, fold: int) -> Column:
+    """Whether crc32(id as text) modulo `folds` is `fold`."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -31,17 +36,30 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     slim = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     mixed = mixing.mix(slim, size_col="size")
     return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.training_sample(documents, table(spark, sf_dir, "labels")))
+    scored = toxicity.score_toxicity(documents, model)
+    return scored.select("doc_id", fold_of("doc_id", 5, 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
         "op2_decontaminate": op2_decontaminate,
+        "op8_neardup": op8_neardup,
         "op9_mix": op9_mix,
+        "op10_toxicity": op10_toxicity,
     }
 
 
@@ -79,6 +97,20 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP8_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
@@ -100,4 +132,4 @@ SELECT doc_id, size, source_size, target, (floor(place * rate + shift) - floor((
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1_SQL, "op2_decontaminate": OP2_SQL, "op9_mix": OP9_SQL}
+    return {"op1_topk": OP1_SQL, "op2_decontaminate": OP2_SQL, "op8_neardup": OP8_SQL, "op9_mix": OP9_SQL}
