@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from passledger.llm.common import word_count
 
 #: Rows in a block, about, of a source that holds every row with one size.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 512
 
 
 def source_targets(sizes: DataFrame, weights: int = 3, most: int = 3) -> DataFrame:
