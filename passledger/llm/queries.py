@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passledger.llm import decontam, mixing, neardup, topk, toxicity
+from passledger.llm import decontam, mixing, neardup, tokenfile, topk, toxicity
 from passledger.llm.common import word_count
 
 
@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizers' files lie on this machine; the driver alone reads them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def fold_of(id_col: str, folds: int, fold: int) -> Column:
     """Whether crc32(id as text) modulo `folds` is `fold`."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))
@@ -36,6 +43,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
         "op2_decontaminate": op2_decontaminate,
+        "op5_tokenfile": op5_tokenfile,
         "op8_neardup": op8_neardup,
         "op9_mix": op9_mix,
         "op10_toxicity": op10_toxicity,
@@ -114,7 +126,7 @@ FROM (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) LEFT JOI
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
-p AS (SELECT max(greatest(0, ceil(log2(greatest(n_docs, 1) / 4096.0))))::BIGINT AS e FROM s),
+p AS (SELECT max(greatest(0, ceil(log2(greatest(n_docs, 1) / 512.0))))::BIGINT AS e FROM s),
 c AS (SELECT *, sum(source_size) OVER () AS total,
   coalesce(sum(source_size) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS smaller,
   sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heavier,
