@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passledger.llm import decontam, mixing, neardup, tokenfile, topk, toxicity
+from passledger.llm import decontam, htmltext, langid, mixing, neardup, secrets, tokencount, tokenfile, topk, toxicity
 from passledger.llm.common import word_count
 
 
@@ -22,6 +22,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def tokenizer_pattern() -> str:
+    """The split of the public byte-level tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def fold_of(id_col: str, folds: int, fold: int) -> Column:
     """Whether crc32(id as text) modulo `folds` is `fold`."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))
@@ -43,10 +50,36 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokencount.count_sections(documents, tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern())
+    return counted.select("doc_id", "section", "start", "end", "n_tokens", "n_crossing", "doc_tokens")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), secrets.fit())
+    of_kind = lambda kind: F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("_spans", lambda s: s["kind"] != "crf")
+    return found.select("doc_id", of_kind("assign"), of_kind("access"), of_kind("hex"), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("_spans")).alias("spans"))
+
+
 def op5_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"), htmltext.fit())
+    return found.select("page_id", "url", F.col("_text").alias("text"), F.col("_n_chars").alias("n_chars"))
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    network = langid.fit(langid.training_sample(documents))
+    found = langid.predict_language(documents.select("doc_id", "text"), network)
+    return found.select("doc_id", fold_of("doc_id", 3, 1).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+
+
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -68,7 +101,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
         "op2_decontaminate": op2_decontaminate,
+        "op3_tokencount": op3_tokencount,
+        "op4_secrets": op4_secrets,
         "op5_tokenfile": op5_tokenfile,
+        "op6_htmltext": op6_htmltext,
+        "op7_langid": op7_langid,
         "op8_neardup": op8_neardup,
         "op9_mix": op9_mix,
         "op10_toxicity": op10_toxicity,
