@@ -168,10 +168,10 @@ def training_sample(documents: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.where("doc_id is not null and lang is not null").where(F.length("text").between(1, SAMPLE_CHARS))
     rows = rows.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != held_out)
     # Only ids are ranked; texts are fetched for the chosen ones.
-    ranked = Window.partitionBy("l").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", F.col("lang").alias("l")).withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= SAMPLE_DOCS)
-    chosen = chosen.orderBy("l", "n").limit(SAMPLE_DOCS * SAMPLE_LANGS).select("doc_id", "l")
-    found = rows.join(F.broadcast(chosen), (rows.doc_id == chosen.doc_id) & (rows.lang == chosen.l)).select(rows.doc_id, "text", "lang")
+    ranked = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = rows.select("doc_id", "lang").withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= SAMPLE_DOCS)
+    chosen = chosen.orderBy("lang", "n").limit(SAMPLE_DOCS * SAMPLE_LANGS).select("doc_id", "lang").distinct()
+    found = rows.join(F.broadcast(chosen), ["doc_id", "lang"])
     return [(r["text"], r["lang"]) for r in found.orderBy("lang", "doc_id", "text").limit(2 * SAMPLE_DOCS * SAMPLE_LANGS).collect()]
 
 
