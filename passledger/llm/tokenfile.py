@@ -63,7 +63,7 @@ def separable(spec: dict) -> bool:
 
 #: Letters whose NFC form and lower case need no context, then punctuation that is one piece.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
-_CACHE = 400_000
+_CACHE = 300_000
 
 
 class Encoder:
