@@ -7,10 +7,11 @@ each, a node above `node_limit` branches on coordinates chosen by a hash of its
 1 / similarity of them on average.  Nodes within the limit are compared exhaustively by
 signature, and pairs that may reach the similarity are confirmed on their full sets.
 
-Only components matter, so a round sends each member's best few partners outside its
-component; the confirmed links merge components, and rounds go on with more partners
-until no node holds an untested pair across components.  A group of thousands of near
-copies thus costs a few pairs a document, and no link between components is left out.
+Only components matter.  Inside a node a breadth-first search over signatures finds which
+members may hang together, and emits a forest, never all pairs.  These forests join into
+groups, which hold every link there can be; each group is then searched the same way on the
+full shingle sets, in one task.  Groups too large for one task are searched node by node
+instead, tree after tree, leaving out nodes that have become one component.
 """
 
 from __future__ import annotations
@@ -31,11 +32,12 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in ra
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
 #: Coordinates of a signature, in bytes 4 times as many.
-COORDINATES = 40
+COORDINATES = 64
 #: Chance to miss a pair at the threshold, in all trees together.
 MISS = 1e-6
-#: Members of a node that one task compares exhaustively.
+#: Members of a node or group that one task compares exhaustively, and bytes of their texts.
 NODE_LIMIT = 2048
+GROUP_BYTES = 32_000_000
 _BLOCK = 1_000_000
 
 
@@ -133,7 +135,7 @@ def _planted(trees: int):
         for batch in batches:
             sig = _signatures(batch.column("sig"))
             keys = [_mixed(_mixed(sig[:, 2 * t].astype(np.uint64) + np.uint64((t + 1) << 40)) ^ sig[:, 2 * t + 1].astype(np.uint64)) for t in range(trees)]
-            yield pa.RecordBatch.from_pydict({"node": pa.array(np.concatenate(keys).view(np.int64)), "rep": pa.concat_arrays([batch.column("rep")] * trees)})
+            yield pa.RecordBatch.from_pydict({"tree": pa.array(np.repeat(np.arange(trees), len(sig)), pa.int32()), "node": pa.array(np.concatenate(keys).view(np.int64)), "rep": pa.concat_arrays([batch.column("rep")] * trees)})
 
     return run
 
@@ -154,84 +156,99 @@ def _branched(similarity: float):
             chosen |= draw == draw.min(axis=1, keepdims=True)
             row, j = np.nonzero(chosen)
             child = _mixed(_mixed(node[row] + j.astype(np.uint64) + np.uint64(1)) ^ sig[row, j])
-            yield pa.RecordBatch.from_pydict({"node": pa.array(child.view(np.int64)), "rep": batch.column("rep").take(pa.array(row))})
+            yield pa.RecordBatch.from_pydict({"tree": batch.column("tree").take(pa.array(row)), "node": pa.array(child.view(np.int64)), "rep": batch.column("rep").take(pa.array(row))})
 
     return run
 
 
-def _paired(least: int, partners: int):
-    """Of each node (rows sorted by node), every member's `partners` most similar members outside its component."""
-
-    def best(rep: np.ndarray, comp: np.ndarray, sig: np.ndarray):
-        pairs, cut = [], False
-        for i in range(len(rep)):
-            other = np.flatnonzero(comp != comp[i])
-            equal = (sig[other] == sig[i]).sum(axis=1)
-            other, equal = other[equal >= least], equal[equal >= least]
-            if len(other) > partners:
-                cut = True
-                other = other[np.argsort(-equal, kind="stable")[:partners]]
-            pairs += [(min(rep[i], rep[j]), max(rep[i], rep[j])) for j in other]
-        return sorted(set(pairs)), cut
+def _searched(n: int, near) -> list[tuple[int, int]]:
+    """A spanning forest of 0..n-1 by breadth-first search; `near(i, others)` gives which of `others` link with i."""
+    left, forest = np.arange(n), []
+    while len(left):
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            i = front.pop()
+            hit = near(i, left)
+            found = left[hit]
+            forest += [(i, int(j)) for j in found]
+            front += found.tolist()
+            left = left[~hit]
+        # What is in front now has no unvisited partners.
+    return forest
+
+
+def _alike(sig: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Forest of members that agree in `least` coordinates or more."""
+    return _searched(len(sig), lambda i, others: (sig[others] == sig[i]).sum(axis=1) >= least)
+
+
+def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Forest of sets with 100 * intersection >= percent * union."""
+    size = np.array([len(x) for x in sets])
+    tokens, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(size) - size
+    mark = np.zeros(len(tokens), bool)
+
+    def near(i: int, others: np.ndarray) -> np.ndarray:
+        low, high = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
+        fits = 100 * low >= percent * high
+        hit = np.zeros(len(others), bool)
+        some = others[fits]
+        if len(some):
+            mark[flat[starts[i] : starts[i] + size[i]]] = True
+            lengths = size[some]
+            ends = np.cumsum(lengths)
+            rows = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) + np.repeat(starts[some], lengths)
+            common = np.add.reduceat(mark[flat[rows]].astype(np.int64), ends - lengths)
+            mark[flat[starts[i] : starts[i] + size[i]]] = False
+            hit[fits] = 100 * common >= percent * (size[i] + lengths - common)
+        return hit
+
+    return _searched(len(sets), near)
+
+
+def _by_group(key: str, edges_of):
+    """Applies `edges_of` (columns of a group -> pairs of row numbers) to groups of rows sorted by `key`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def flush(rows: list[pa.RecordBatch]):
             table = pa.Table.from_batches(rows).combine_chunks()
-            node, rep, comp = (table.column(n).to_numpy() for n in ("node", "rep", "comp"))
-            sig = _signatures(table.column("sig").combine_chunks())
-            cuts = np.concatenate([[0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]])
-            out: list[tuple[int, int, bool]] = []
+            keys, rep = table.column(key).to_numpy(), table.column("rep").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+            pairs = []
             for a, b in zip(cuts[:-1], cuts[1:]):
-                if b - a > 1 and (comp[a:b] != comp[a]).any():
-                    pairs, cut = best(rep[a:b], comp[a:b], sig[a:b])
-                    out += [(x, y, cut) for x, y in pairs]
-            return pa.RecordBatch.from_pydict({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64()), "cut": pa.array([x[2] for x in out], pa.bool_())})
+                if b - a > 1:
+                    pairs += [(rep[a + i], rep[a + j]) for i, j in edges_of(table.slice(a, b - a))]
+            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
 
         for batch in batches:
-            node = batch.column("node").to_numpy()
-            if not len(node):
+            keys = batch.column(key).to_numpy()
+            if not len(keys):
                 continue
-            last = int(np.searchsorted(node, node[-1]))
-            if held and node[0] != held[-1].column("node")[-1].as_py() or last:
-                head = [*held, batch.slice(0, last)] if last else held
-                yield flush([x for x in head if x.num_rows])
-                held = [batch.slice(last)]
-            else:
-                held.append(batch)
+            last = int(np.searchsorted(keys, keys[-1]))
+            if last or held and held[-1].column(key)[-1].as_py() != keys[-1]:
+                yield flush([*held, batch.slice(0, last)] if last else held)
+                held = []
+            held.append(batch.slice(last))
         if held:
             yield flush(held)
 
     return run
 
 
-def _confirmed(k: int, percent: int):
-    """Pairs whose full shingle sets reach the similarity."""
+def _alike_in(least: int):
+    return _by_group("node", lambda t: _alike(_signatures(t.column("sig").combine_chunks()), least))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(k)
-        known: dict[int, np.ndarray] = {}
-        for batch in text_blocks(text_blocks(batches, "text_a", _BLOCK), "text_b", _BLOCK):
-            ids = [batch.column(n).to_pylist() for n in ("a", "b")]
-            known = {i: known[i] for i in set(ids[0]) & set(known)}
-            for n, side in zip(("text_a", "text_b"), ids):
-                texts = utf8_values(batch.column(n))
-                new = {i: t for i, t in zip(side, texts) if i not in known}
-                known.update(zip(new, shingler.sets(list(new.values()))))
-            linked = []
-            for a, b in zip(*ids):
-                x, y = known[a], known[b]
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                if 100 * len(small) < percent * len(large):
-                    continue
-                at = np.searchsorted(large, small)
-                common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                if 100 * common >= percent * (len(x) + len(y) - common):
-                    linked.append((a, b))
-            yield pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in linked], pa.int64()), "b": pa.array([p[1] for p in linked], pa.int64())})
 
-    return run
+def _linked_in(key: str, k: int, percent: int):
+    shingler = Shingler(k)
+
+    def edges(t: pa.Table):
+        return _linked(shingler.sets(utf8_values(t.column("text").combine_chunks())), percent)
+
+    return _by_group(key, edges)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -253,25 +270,24 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 85, node_limit: int = NODE_LIMIT, first_partners: int = 4) -> DataFrame:
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 85, node_limit: int = NODE_LIMIT, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id long, n_shingles long, component_id long, kept boolean: a row for each document.
 
     Documents link whose sets of `k`-word shingles have 100 * intersection >= `percent` *
     union.  Words are maximal runs without ASCII white space, with A-Z lower-cased; fewer
     than `k` words are one shingle; null or empty texts have an empty set and no links, and
-    are components of their own.  Rows that share an id are one document; rows with a null
-    id have a null component and are kept.  An empty table gives an empty result.
+    are components of their own.  An id is expected on one text; rows that repeat both are
+    one document.  Rows with a null id have a null component and are kept.  An empty table
+    gives an empty result.
     """
-    similarity = percent / 100
     rows = pick(documents, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(rows.mapInArrow(_signed(k), "doc_id long, n_shingles long, set_key binary, sig binary"), "signed")
     classes = stored(signed.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sig").alias("sig")), "classes")
-    nodes = _nodes(classes.select("rep", "sig"), similarity, node_limit)
-    labels = _merged(rows, nodes, k, percent, first_partners)
+    nodes = _nodes(classes.select("rep", "sig"), percent / 100, node_limit)
+    labels = _merged(rows, nodes, k, percent, node_limit, group_bytes)
     own = signed.select("doc_id", "n_shingles", "set_key")
     same = classes.where("n > 1").select("set_key", "rep")
     out = own.join(same, "set_key", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    # Rows that share an id bind their classes together.
     if labels is not None:
         out = out.join(labels, out.rep == labels.id, "left").withColumn("rep", F.coalesce("comp", "rep"))
     component = F.col("rep")
@@ -279,8 +295,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
-    """(node, rep, sig) of all nodes with two members or more, within the limit."""
-    open_ = classes.mapInArrow(_planted(trees_for(similarity)), "node long, rep long")
+    """(tree, node, rep, sig) of all nodes with two members or more, within the limit."""
+    shape = "tree int, node long, rep long"
+    open_ = classes.mapInArrow(_planted(trees_for(similarity)), shape)
     done = None
     while True:
         open_ = stored(open_, "nodes")
@@ -290,46 +307,41 @@ def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
         large = sizes.where(F.col("n") > limit).select("node")
         if not large.limit(1).count():
             break
-        open_ = open_.join(large, "node").join(classes, "rep").select("node", "rep", "sig").mapInArrow(_branched(similarity), "node long, rep long")
-    return stored(done.distinct().join(classes, "rep").select("node", "rep", "sig"), "members")
+        open_ = open_.join(large, "node").join(classes, "rep").select("tree", "node", "rep", "sig").mapInArrow(_branched(similarity), shape).distinct()
+    return stored(done.join(classes, "rep").select("tree", "node", "rep", "sig"), "members")
 
 
-def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, partners: int) -> DataFrame | None:
+def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int, group_bytes: int) -> DataFrame | None:
     """(id, comp) of linked representatives, or None without links."""
-    active = nodes.select(F.col("rep").alias("doc_id")).distinct()
-    texts = None
-    labels = tested = None
-    while True:
-        if labels is None:
-            members = nodes.withColumn("comp", F.col("rep"))
-        else:
-            members = nodes.join(labels, nodes.rep == labels.id, "left").select("node", "rep", "sig", F.coalesce("comp", "rep").alias("comp"))
-        grouped = members.select("node", "rep", "comp", "sig").repartition("node").sortWithinPartitions("node", "rep")
-        found = grouped.mapInArrow(_paired(least_agreement(percent / 100), partners), "a long, b long, cut boolean")
-        pairs = stored(found.groupBy("a", "b").agg(F.max("cut").alias("cut")), "pairs")
-        new = pairs.select("a", "b") if tested is None else stored(pairs.select("a", "b").join(tested, ["a", "b"], "left_anti"), "new")
-        if not new.limit(1).count():
-            if not pairs.where("cut").limit(1).count():
-                return labels
-            partners *= 4
-            continue
-        if texts is None:
-            texts = stored(rows.join(active, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-        left = new.join(texts.withColumnRenamed("text", "text_a"), new.a == texts.doc_id).drop("doc_id")
-        both = left.join(texts.withColumnRenamed("text", "text_b"), left.b == texts.doc_id).select("a", "b", "text_a", "text_b")
-        links = stored(both.mapInArrow(_confirmed(k, percent), "a long, b long"), "links")
-        if links.limit(1).count():
-            labels = _relabelled(labels, links)
-        tested = new if tested is None else tested.unionByName(new)
-        partners *= 2
-
-
-def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Labels after more links: the components of the links between present components."""
-    if labels is None:
-        return components(links)
-    top = lambda df, name: df.join(labels, df[name] == labels.id, "left").withColumn(name, F.coalesce("comp", name)).select("a", "b")
-    merged = components(top(top(links, "a"), "b").where("a <> b")).select(F.col("id").alias("was"), F.col("comp").alias("now"))
-    moved = labels.join(merged, labels.comp == merged.was, "left").select("id", F.coalesce("now", "comp").alias("comp"))
-    fresh = merged.join(labels, merged.was == labels.id, "left_anti").select(F.col("was").alias("id"), F.col("now").alias("comp"))
-    return stored(moved.unionByName(fresh), "labels")
+    grouped = nodes.select("node", "rep", "sig").repartition("node").sortWithinPartitions("node", "rep")
+    maybe = stored(grouped.mapInArrow(_alike_in(least_agreement(percent / 100)), "a long, b long").distinct(), "alike")
+    if not maybe.limit(1).count():
+        return None
+    groups = components(maybe).select(F.col("id").alias("rep"), F.col("comp").alias("part"))
+    texts = rows.select(F.col("doc_id").alias("rep"), "text").join(groups, "rep").groupBy("rep", "part").agg(F.min("text").alias("text"))
+    texts = stored(texts, "texts")
+    sizes = texts.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    sizes = stored(sizes.withColumn("fits", (F.col("n") <= limit) & (F.col("bytes") <= group_bytes)), "sizes")
+    small = texts.join(sizes.where("fits").select("part"), "part").repartition("part").sortWithinPartitions("part", "rep")
+    links = stored(small.select("part", "rep", "text").mapInArrow(_linked_in("part", k, percent), "a long, b long"), "links")
+    if sizes.where("not fits").limit(1).count():
+        rest = texts.join(sizes.where("not fits").select("part"), "part").select("rep", "text")
+        links = links.unionByName(_links_by_node(rest, nodes, k, percent))
+    return components(links) if links.limit(1).count() else None
+
+
+def _links_by_node(texts: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links among `texts`, node by node, one tree after the other."""
+    members = stored(nodes.select("tree", "node", "rep").join(texts.select("rep"), "rep"), "large")
+    links = labels = None
+    for (tree,) in sorted(members.select("tree").distinct().collect()):
+        own = members.where(F.col("tree") == tree).select("node", "rep")
+        if labels is not None:
+            at = own.join(labels, own.rep == labels.id, "left").select("node", "rep", F.coalesce("comp", "rep").alias("comp"))
+            mixed = at.groupBy("node").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("node")
+            own = own.join(mixed, "node")
+        full = own.join(texts, "rep").select("node", "rep", "text").repartition("node").sortWithinPartitions("node", "rep")
+        found = stored(full.mapInArrow(_linked_in("node", k, percent), "a long, b long").distinct(), "links")
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+    return links
