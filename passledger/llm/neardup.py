@@ -37,7 +37,7 @@ COORDINATES = 64
 MISS = 1e-6
 #: Members of a node or group that one task compares exhaustively, and bytes of their texts.
 NODE_LIMIT = 2048
-GROUP_BYTES = 32_000_000
+GROUP_BYTES = 8_000_000
 _BLOCK = 1_000_000
 
 
@@ -182,10 +182,17 @@ def _alike(sig: np.ndarray, least: int) -> list[tuple[int, int]]:
     return _searched(len(sig), lambda i, others: (sig[others] == sig[i]).sum(axis=1) >= least)
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
+
+
 def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Forest of sets with 100 * intersection >= percent * union."""
     size = np.array([len(x) for x in sets])
     tokens, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    flat = flat.astype(np.int32)
     starts = np.cumsum(size) - size
     mark = np.zeros(len(tokens), bool)
 
@@ -196,12 +203,10 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         some = others[fits]
         if len(some):
             mark[flat[starts[i] : starts[i] + size[i]]] = True
-            lengths = size[some]
-            ends = np.cumsum(lengths)
-            rows = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) + np.repeat(starts[some], lengths)
-            common = np.add.reduceat(mark[flat[rows]].astype(np.int64), ends - lengths)
+            parts = np.array_split(some, int(size[some].sum()) // _BLOCK + 1)
+            common = np.concatenate([np.add.reduceat(mark[flat[_ranges(starts[p], size[p])]].astype(np.int32), np.cumsum(size[p]) - size[p]) for p in parts if len(p)])
             mark[flat[starts[i] : starts[i] + size[i]]] = False
-            hit[fits] = 100 * common >= percent * (size[i] + lengths - common)
+            hit[fits] = 100 * common.astype(np.int64) >= percent * (size[i] + size[some] - common)
         return hit
 
     return _searched(len(sets), near)
@@ -246,7 +251,10 @@ def _linked_in(key: str, k: int, percent: int):
     shingler = Shingler(k)
 
     def edges(t: pa.Table):
-        return _linked(shingler.sets(utf8_values(t.column("text").combine_chunks())), percent)
+        sets: list[np.ndarray] = []
+        for batch in text_blocks(t.select(["text"]).to_batches(), limit=_BLOCK):
+            sets += shingler.sets(utf8_values(batch.column("text")))
+        return _linked(sets, percent)
 
     return _by_group(key, edges)
 
