@@ -38,6 +38,8 @@ MISS = 1e-6
 #: Members of a node or group that one task compares exhaustively, and bytes of their texts.
 NODE_LIMIT = 2048
 GROUP_BYTES = 8_000_000
+#: Levels of branching below the second; nodes that are too large even then fall into pairs of blocks.
+MAX_LEVELS = 6
 _BLOCK = 1_000_000
 
 
@@ -298,7 +300,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     out = own.join(same, "set_key", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     if labels is not None:
         out = out.join(labels, out.rep == labels.id, "left").withColumn("rep", F.coalesce("comp", "rep"))
-    component = F.col("rep")
+    component = F.when(F.col("doc_id").isNotNull(), F.col("rep"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
@@ -307,18 +309,31 @@ def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
     shape = "tree int, node long, rep long"
     open_ = classes.mapInArrow(_planted(trees_for(similarity)), shape)
     done = None
-    while True:
+    for level in range(MAX_LEVELS + 1):
         open_ = stored(open_, "nodes")
         sizes = stored(open_.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
         fit = open_.join(sizes.where(F.col("n") <= limit).select("node"), "node")
         done = fit if done is None else done.unionByName(fit)
-        large = sizes.where(F.col("n") > limit).select("node")
+        large = sizes.where(F.col("n") > limit)
         if not large.limit(1).count():
             break
-        open_ = open_.join(large, "node").join(classes, "rep").select("tree", "node", "rep", "sig").mapInArrow(_branched(similarity), shape).distinct()
+        rest = open_.join(large, "node")
+        if level == MAX_LEVELS:
+            done = done.unionByName(_block_pairs(rest, limit))
+        else:
+            open_ = rest.join(classes, "rep").select("tree", "node", "rep", "sig").mapInArrow(_branched(similarity), shape).distinct()
     return stored(done.join(classes, "rep").select("tree", "node", "rep", "sig"), "members")
 
 
+def _block_pairs(rows: DataFrame, limit: int) -> DataFrame:
+    """Members of nodes that do not shrink, such as sets with equal signatures: the node is cut into
+    blocks, and each pair of blocks is a node of its own, so that all its pairs are still compared."""
+    blocks = F.ceil(F.col("n") * 2.6 / limit) + 1
+    df = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    df = df.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return df.select("tree", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rep")
+
+
 def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int, group_bytes: int) -> DataFrame | None:
     """(id, comp) of linked representatives, or None without links."""
     grouped = nodes.select("node", "rep", "sig").repartition("node").sortWithinPartitions("node", "rep")
