@@ -2,7 +2,7 @@
 
 Training labels documents; words get labels from them: a word of a toxic document is
 toxic if it, or a beginning of it, is found in toxic documents many times as often as in
-others.  The field learns from windows around such words and from windows of other
+others, near copies left out, and more often than chance explains.  The field learns from windows around such words and from windows of other
 documents, with word, affix, shape and neighbour features, and so tags words never seen.
 Forward-backward marginals over a whole document give its expected number of toxic
 words, the surest one and their share; a logistic model turns these into the score.
@@ -11,6 +11,7 @@ words, the surest one and their share; a logistic model turns these into the sco
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -61,14 +62,45 @@ def _features(words: list[str], at: range) -> np.ndarray:
     return out
 
 
-def toxic_types(documents: list[tuple[list[str], int]], least: int = 3, times: float = 25.0) -> set[str]:
-    """Types found in `least` toxic documents or more, and `times` as often there as in others."""
+def without_copies(documents: list[tuple[list[str], int]], values: int = 8, same: int = 4) -> list[tuple[list[str], int]]:
+    """Documents but near copies of earlier ones: those that share `same` of `values` minima of hashed word triples.
+
+    Copies would make any word of one toxic document look like a mark of many.
+    """
+    factors = np.random.default_rng(1).integers(1, 1 << 31, values, np.uint64) * np.uint64(2) + np.uint64(1)
+    seen: dict[tuple[int, int], list[int]] = {}
+    out = []
+    for n, (words, y) in enumerate(documents):
+        codes = np.array([zlib.crc32(w.encode()) for w in words] or [0], np.uint64)
+        k = min(3, len(codes))
+        triples = sum(codes[j : len(codes) - k + 1 + j] * np.uint64(31**j) for j in range(k))
+        minima = [(j, int(((triples * f) >> np.uint64(17)).min())) for j, f in enumerate(factors)]
+        met = Counter(d for m in minima for d in seen.get(m, ()))
+        if met and met.most_common(1)[0][1] >= same:
+            continue
+        for m in minima:
+            seen.setdefault(m, []).append(n)
+        out.append((words, y))
+    return out
+
+
+def toxic_types(documents: list[tuple[list[str], int]], times: float = 25.0) -> set[str]:
+    """Types found `times` as often in toxic documents as in others, and more often than chance explains.
+
+    Chance: the bound on a binomial tail, over as many types as there are.
+    """
     seen = (Counter(), Counter())
     total = Counter(y for _, y in documents)
     for words, y in documents:
         seen[y].update({x for w in set(words) for x in types_of(w)})
-    rate = (total[0] + 1) / (total[1] + 1)
-    return {x for x, n in seen[1].items() if n >= least and n * rate >= times * (seen[0][x] + 0.5)}
+    rate, share = (total[0] + 1) / (total[1] + 1), (total[1] + 1) / (len(documents) + 2)
+    needed = np.log(len(set(seen[0]) | set(seen[1])) + 1) + 2
+
+    def surprise(n1: int, n0: int) -> float:
+        n = n1 + n0
+        return n1 * np.log(n1 / (n * share)) + (n0 * np.log(n0 / (n * (1 - share))) if n0 else 0)
+
+    return {x for x, n in seen[1].items() if n * rate >= times * (seen[0][x] + 0.5) and surprise(n, seen[0][x]) >= needed}
 
 
 @dataclass
@@ -151,7 +183,7 @@ def words_of(text: str | None) -> list[str]:
 
 def fit(rows: list[tuple[str | None, int]], seed: int = 3) -> ToxicityModel:
     """Fits on (text, 0 or 1); without both labels every document scores the share of label 1."""
-    documents = [(words_of(t), y) for t, y in rows]
+    documents = without_copies([(words_of(t), y) for t, y in rows])
     known = toxic_types(documents)
     rng = np.random.default_rng(seed)
     windows, labels = [], []
