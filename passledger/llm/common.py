@@ -48,6 +48,13 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes tables made by `stored` that nothing reads any more."""
+    for table in tables:
+        if table is not None:
+            remove(table.sparkSession, table.scratch_path)
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named input columns, under internal names; other columns cannot clash."""
     return df.select(*[df[f"`{source}`"].alias(name) for name, source in columns.items()])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passledger.llm.common import pick, stored, text_blocks, utf8_values
+from passledger.llm.common import discard, pick, stored, text_blocks, utf8_values
 
 #: A-Z become a-z; the ASCII white space 09-0D becomes a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
@@ -268,16 +268,21 @@ def components(links: DataFrame) -> DataFrame:
     round is a written table.
     """
     edges = stored(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").distinct(), "edges")
-    labels = stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")), "labels")
+    kept = stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.col("a").alias("old"), F.least("a", "m").alias("comp")), "labels")
     while True:
+        labels = kept.select("id", "comp")
         near = edges.join(labels, edges.b == labels.id).groupBy("a").agg(F.min("comp").alias("near"))
         new = labels.join(near, labels.id == near.a, "left").select("id", F.col("comp").alias("old"), F.least("comp", F.coalesce("near", "comp")).alias("comp"))
         new = stored(new, "labels")
         up = new.select(F.col("id").alias("up"), F.col("comp").alias("top"))
         jumped = stored(new.join(up, new.comp == up.up, "left").select("id", "old", F.least("comp", F.coalesce("top", "comp")).alias("comp")), "labels")
-        labels = jumped.select("id", "comp")
-        if not jumped.where("comp <> old").limit(1).count():
-            return labels
+        discard(kept, new)
+        kept = jumped
+        if not kept.where("comp <> old").limit(1).count():
+            discard(edges)
+            out = kept.select("id", "comp")
+            out.scratch_path = kept.scratch_path
+            return out
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 85, node_limit: int = NODE_LIMIT, group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -295,6 +300,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     classes = stored(signed.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sig").alias("sig")), "classes")
     nodes = _nodes(classes.select("rep", "sig"), percent / 100, node_limit)
     labels = _merged(rows, nodes, k, percent, node_limit, group_bytes)
+    discard(nodes)
     own = signed.select("doc_id", "n_shingles", "set_key")
     same = classes.where("n > 1").select("set_key", "rep")
     out = own.join(same, "set_key", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
@@ -308,10 +314,11 @@ def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
     """(tree, node, rep, sig) of all nodes with two members or more, within the limit."""
     shape = "tree int, node long, rep long"
     open_ = classes.mapInArrow(_planted(trees_for(similarity)), shape)
-    done = None
+    done, used = None, []
     for level in range(MAX_LEVELS + 1):
         open_ = stored(open_, "nodes")
         sizes = stored(open_.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        used += [open_, sizes]
         fit = open_.join(sizes.where(F.col("n") <= limit).select("node"), "node")
         done = fit if done is None else done.unionByName(fit)
         large = sizes.where(F.col("n") > limit)
@@ -322,7 +329,9 @@ def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
             done = done.unionByName(_block_pairs(rest, limit))
         else:
             open_ = rest.join(classes, "rep").select("tree", "node", "rep", "sig").mapInArrow(_branched(similarity), shape).distinct()
-    return stored(done.join(classes, "rep").select("tree", "node", "rep", "sig"), "members")
+    members = stored(done.join(classes, "rep").select("tree", "node", "rep", "sig"), "members")
+    discard(*used)
+    return members
 
 
 def _block_pairs(rows: DataFrame, limit: int) -> DataFrame:
@@ -340,17 +349,21 @@ def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int,
     maybe = stored(grouped.mapInArrow(_alike_in(least_agreement(percent / 100)), "a long, b long").distinct(), "alike")
     if not maybe.limit(1).count():
         return None
-    groups = components(maybe).select(F.col("id").alias("rep"), F.col("comp").alias("part"))
+    found = components(maybe)
+    groups = found.select(F.col("id").alias("rep"), F.col("comp").alias("part"))
     texts = rows.select(F.col("doc_id").alias("rep"), "text").join(groups, "rep").groupBy("rep", "part").agg(F.min("text").alias("text"))
     texts = stored(texts, "texts")
+    discard(maybe, found)
     sizes = texts.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
     sizes = stored(sizes.withColumn("fits", (F.col("n") <= limit) & (F.col("bytes") <= group_bytes)), "sizes")
     small = texts.join(sizes.where("fits").select("part"), "part").repartition("part").sortWithinPartitions("part", "rep")
-    links = stored(small.select("part", "rep", "text").mapInArrow(_linked_in("part", k, percent), "a long, b long"), "links")
+    links = inside = stored(small.select("part", "rep", "text").mapInArrow(_linked_in("part", k, percent), "a long, b long"), "links")
     if sizes.where("not fits").limit(1).count():
         rest = texts.join(sizes.where("not fits").select("part"), "part").select("rep", "text")
         links = links.unionByName(_links_by_node(rest, nodes, k, percent))
-    return components(links) if links.limit(1).count() else None
+    labels = components(links) if links.limit(1).count() else None
+    discard(texts, sizes, inside)
+    return labels
 
 
 def _links_by_node(texts: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
