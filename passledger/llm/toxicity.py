@@ -111,6 +111,7 @@ class ToxicityModel:
     def __post_init__(self):
         self._ids: dict[str, int] = {}
         self._tables = [[], [], []]
+        self._lead: list[float] = (self.crf.weights[:, 1] - self.crf.weights[:, 0]).tolist()
 
     def __getstate__(self):
         return {"crf": self.crf, "scale": self.scale}
@@ -121,16 +122,16 @@ class ToxicityModel:
 
     def _id(self, word: str) -> int:
         """Row of a word in the tables of its own score and of those it gives its neighbours."""
-        w = self.crf.weights
+        lead = self._lead
         for table, rows in zip(self._tables, (_own_features(word), _near_features(word, "b"), _near_features(word, "a"))):
-            table.append(float(w[rows, 1].sum() - w[rows, 0].sum()))
+            table.append(sum([lead[r] for r in rows]))
         self._ids[word] = n = len(self._ids)
         return n
 
     def word_marginals(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """P(toxic) of all words, one document after another, and the documents' lengths."""
         if len(self._ids) > _CACHE:
-            self.__post_init__()
+            self._ids, self._tables = {}, [[], [], []]
         get, make = self._ids.get, self._id
         lengths = np.array([len(x) for x in documents], np.int64)
         ids = np.empty(lengths.sum(), np.int64)
