@@ -29,6 +29,8 @@ _SLOTS = 1 << 16
 _STEMS = (3, 4, 5, 6, 7, 8)
 #: The sample that the model is fitted on: documents of each label, and the longest text in it.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 3000, 3000, 60_000
+#: Marginals from which a word counts towards a document.
+LIKELY = 0.3
 _WINDOW = 12
 _CACHE = 300_000
 
@@ -63,18 +65,18 @@ def _features(words: list[str], at: range) -> np.ndarray:
 
 
 def without_copies(documents: list[tuple[list[str], int]], values: int = 8, same: int = 4) -> list[tuple[list[str], int]]:
-    """Documents but near copies of earlier ones: those that share `same` of `values` minima of hashed word triples.
+    """Documents but near copies of earlier ones with the same label: those that share `same` of `values` minima of hashed word triples.
 
     Copies would make any word of one toxic document look like a mark of many.
     """
     factors = np.random.default_rng(1).integers(1, 1 << 31, values, np.uint64) * np.uint64(2) + np.uint64(1)
-    seen: dict[tuple[int, int], list[int]] = {}
+    seen: dict[tuple[int, int, int], list[int]] = {}
     out = []
     for n, (words, y) in enumerate(documents):
         codes = np.array([zlib.crc32(w.encode()) for w in words] or [0], np.uint64)
         k = min(3, len(codes))
         triples = sum(codes[j : len(codes) - k + 1 + j] * np.uint64(31**j) for j in range(k))
-        minima = [(j, int(((triples * f) >> np.uint64(17)).min())) for j, f in enumerate(factors)]
+        minima = [(y, j, int(((triples * f) >> np.uint64(17)).min())) for j, f in enumerate(factors)]
         met = Counter(d for m in minima for d in seen.get(m, ()))
         if met and met.most_common(1)[0][1] >= same:
             continue
@@ -151,14 +153,17 @@ class ToxicityModel:
         return marginals(score + left + right, lengths, self.crf), lengths
 
     def summary(self, documents: list[list[str]]) -> np.ndarray:
-        """By document: expected toxic words, the surest one, expected share; a constant."""
+        """By document: expected toxic words among likely ones, the surest one, their share; a constant.
+
+        Words below `LIKELY` do not add up, however long a text is.
+        """
         p, lengths = self.word_marginals(documents)
         out = np.zeros((len(documents), 4))
         out[:, 3] = 1
         full = lengths > 0
         if full.any():
             starts = (np.cumsum(lengths) - lengths)[full]
-            sums = np.add.reduceat(p, starts)
+            sums = np.add.reduceat(np.where(p >= LIKELY, p, 0.0), starts)
             out[full, 0], out[full, 1] = np.log1p(sums), np.maximum.reduceat(p, starts)
             out[full, 2] = np.sqrt(sums / lengths[full])
         return out
