@@ -35,9 +35,9 @@ _UNBASE = pow(_BASE, -1, 1 << 64)
 COORDINATES = 64
 #: Chance to miss a pair at the threshold, in all trees together.
 MISS = 1e-6
-#: Members of a node or group that one task compares exhaustively, and bytes of their texts.
-NODE_LIMIT = 2048
-GROUP_BYTES = 8_000_000
+#: Members of a node that one task compares exhaustively; times as many for a group, and bytes of its texts.
+NODE_LIMIT, GROUP_TIMES = 2048, 6
+GROUP_BYTES = 24_000_000
 #: Levels of branching below the second; nodes that are too large even then fall into pairs of blocks.
 MAX_LEVELS = 6
 _BLOCK = 1_000_000
@@ -190,8 +190,9 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
 
 
-def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Forest of sets with 100 * intersection >= percent * union."""
+def _linked(sets: list[np.ndarray], sig: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Forest of sets with 100 * intersection >= percent * union; signatures pick whom to compare."""
+    least = least_agreement(percent / 100)
     size = np.array([len(x) for x in sets])
     tokens, flat = np.unique(np.concatenate(sets), return_inverse=True)
     flat = flat.astype(np.int32)
@@ -201,6 +202,7 @@ def _linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     def near(i: int, others: np.ndarray) -> np.ndarray:
         low, high = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
         fits = 100 * low >= percent * high
+        fits[fits] = (sig[others[fits]] == sig[i]).sum(axis=1) >= least
         hit = np.zeros(len(others), bool)
         some = others[fits]
         if len(some):
@@ -256,7 +258,8 @@ def _linked_in(key: str, k: int, percent: int):
         sets: list[np.ndarray] = []
         for batch in text_blocks(t.select(["text"]).to_batches(), limit=_BLOCK):
             sets += shingler.sets(utf8_values(batch.column("text")))
-        return _linked(sets, percent)
+        parts = [shingler.signatures(sets[at : at + 256]) for at in range(0, len(sets), 256)]
+        return _linked(sets, np.concatenate(parts), percent)
 
     return _by_group(key, edges)
 
@@ -355,7 +358,7 @@ def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int,
     texts = stored(texts, "texts")
     discard(maybe, found)
     sizes = texts.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-    sizes = stored(sizes.withColumn("fits", (F.col("n") <= limit) & (F.col("bytes") <= group_bytes)), "sizes")
+    sizes = stored(sizes.withColumn("fits", (F.col("n") <= limit * GROUP_TIMES) & (F.col("bytes") <= group_bytes)), "sizes")
     small = texts.join(sizes.where("fits").select("part"), "part").repartition("part").sortWithinPartitions("part", "rep")
     links = inside = stored(small.select("part", "rep", "text").mapInArrow(_linked_in("part", k, percent), "a long, b long"), "links")
     if sizes.where("not fits").limit(1).count():
