@@ -87,16 +87,27 @@ def parse_inputs(spark, d):
     return inputs_audit.parse_actual_inputs(fx.tags(spark, d)).select("product", "input_id", "input_category", "place", "opera_id_trunc", "jpl_burst_id", "track_number", "acq_dt")
 
 
-def polarization_issues(spark, d):
-    """With polarizations of all granules, single-polarized ones too."""
+def _polarizations(spark, d, granules: DataFrame):
+    """Granules of each tile up to 1996 as pre inputs of one product, later ones as post inputs, with
+    polarizations of all granules, single-polarized ones too."""
     pols = inputs_audit.polarization_map(fx.inputs(spark, d), [])
-    raw = fx.inputs(spark, d)
-    own = raw.groupBy("n").agg(F.array_join(F.array_sort(F.collect_list(F.when(F.year("acq_dt") <= 1996, F.col("opera_id")))), ",").alias("pre_rtc_opera_ids"), F.array_join(F.array_sort(F.collect_list(F.when(F.year("acq_dt") == 1997, F.col("opera_id")))), ",").alias("post_rtc_opera_ids"))
+    listed = lambda own: F.array_join(F.array_sort(F.collect_list(F.when(own, F.col("opera_id")))), ",")
+    early = F.coalesce(F.year("acq_dt") <= 1996, F.lit(False))
+    own = granules.groupBy("n").agg(listed(early).alias("pre_rtc_opera_ids"), listed(~early).alias("post_rtc_opera_ids"))
     tags = own.select(F.concat(F.lit("P"), F.col("n").cast("string")).alias("opera_id"), F.col("n").cast("string").alias("mgrs_tile_id"), "pre_rtc_opera_ids", "post_rtc_opera_ids")
     found = inputs_audit.polarization_issues(inputs_audit.parse_actual_inputs(tags), pols, [])
     return found.select("product", F.md5(F.col("single_text").cast("binary")).alias("single_md5"), F.md5(F.col("mismatch_text").cast("binary")).alias("mismatch_md5"))
 
 
+def polarization_issues(spark, d):
+    """Of granules up to 1997 only, as its SQL has it; `polarization_issues_all` leaves none out."""
+    return _polarizations(spark, d, fx.inputs(spark, d).where(F.year("acq_dt") <= 1997))
+
+
+def polarization_issues_all(spark, d):
+    return _polarizations(spark, d, fx.inputs(spark, d))
+
+
 def product_match(spark, d):
     index = enumerate.expected_index(fx.expected(spark, d))
     actual = inputs_audit.parse_actual_inputs(fx.tags(spark, d))
@@ -162,6 +173,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expected_index": lambda s, d: enumerate.expected_index(_expected(s, d)),
     "parse_inputs": parse_inputs,
     "polarization_issues": polarization_issues,
+    "polarization_issues_all": polarization_issues_all,
     "product_match": product_match,
     "inputs_audit": _audit,
     "issue_summary": lambda s, d: inputs_audit.issue_summary(inputs_audit.incorrect(_audit(s, d))),
@@ -394,6 +406,12 @@ FROM (SELECT dedup.opera_id, dedup.mgrs_tile_id, acq_time, min(abs(epoch_us(acq_
     "polarization_issues": """
 , rows AS (SELECT 'P' || n AS product, CASE WHEN year(acq_dt) <= 1996 THEN 0 ELSE 1 END AS c, jpl_burst_id, did, polarizations AS pol, opera_id FROM granules WHERE year(acq_dt) <= 1997),
 seen AS (SELECT *, last_value(pol) OVER (PARTITION BY product, jpl_burst_id ORDER BY c, opera_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS lp, max(c) OVER (PARTITION BY product, jpl_burst_id) AS has FROM rows)
+SELECT product, md5(coalesce(string_agg(did || '=' || pol, ';' ORDER BY c, opera_id) FILTER (pol NOT IN ('VV+VH', 'HH+HV')), '')) AS single_md5,
+  md5(coalesce(string_agg(did || '=' || pol || ' vs post-image ' || lp, ';' ORDER BY c, opera_id) FILTER (c = 0 AND has = 1 AND pol <> lp), '')) AS mismatch_md5 FROM seen GROUP BY product
+""",
+    "polarization_issues_all": """
+, rows AS (SELECT 'P' || n AS product, CASE WHEN year(acq_dt) <= 1996 THEN 0 ELSE 1 END AS c, jpl_burst_id, did, polarizations AS pol, opera_id FROM granules),
+seen AS (SELECT *, last_value(pol) OVER (PARTITION BY product, jpl_burst_id ORDER BY c, opera_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS lp, max(c) OVER (PARTITION BY product, jpl_burst_id) AS has FROM rows)
 SELECT product, md5(coalesce(string_agg(did || '=' || pol, ';' ORDER BY c, opera_id) FILTER (pol NOT IN ('VV+VH', 'HH+HV')), '')) AS single_md5,
   md5(coalesce(string_agg(did || '=' || pol || ' vs post-image ' || lp, ';' ORDER BY c, opera_id) FILTER (c = 0 AND has = 1 AND pol <> lp), '')) AS mismatch_md5 FROM seen GROUP BY product
 """,

@@ -20,3 +20,24 @@ def test_resume_todo(spark, sf_dir):
     tags = fx.tags(spark, sf_dir).select("opera_id", "error").collect()
     want = {r.opera_id for r in tags if zlib.crc32(r.opera_id.encode()) % 3 or r.error}
     assert {r.opera_id for r in queries.queries()["resume_todo"](spark, sf_dir).collect()} == want
+
+
+def test_all_granules_are_searched_for_polarization_issues(spark, sf_dir):
+    """Against plain Python, without the cut at the end of 1997 of `polarization_issues`."""
+    import hashlib
+    from itertools import groupby
+
+    from passledger import fixtures as fx
+
+    rows = sorted((r.n, r.acq_dt.year > 1996, r.opera_id, r.jpl_burst_id, r.polarizations) for r in fx.inputs(spark, sf_dir).collect())
+    assert max(r.acq_dt.year for r in fx.inputs(spark, sf_dir).select("acq_dt").collect()) > 1997
+    want = {}
+    for n, own in groupby(rows, lambda r: r[0]):
+        own = list(own)
+        last = {burst: pol for _, post, _, burst, pol in own if post}
+        short = lambda i: "_".join(i.split("_")[:5])
+        single = [f"{short(i)}={pol}" for _, _, i, _, pol in own if pol not in ("VV+VH", "HH+HV")]
+        unlike = [f"{short(i)}={pol} vs post-image {last[burst]}" for _, post, i, burst, pol in own if not post and last.get(burst, pol) != pol]
+        want[f"P{n}"] = tuple(hashlib.md5(";".join(x).encode()).hexdigest() for x in (single, unlike))
+    got = queries.queries()["polarization_issues_all"](spark, sf_dir).collect()
+    assert {r.product: (r.single_md5, r.mismatch_md5) for r in got} == want
