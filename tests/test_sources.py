@@ -135,3 +135,47 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {r.opera_id: r.out_of_order for r in spark.table("ordered").collect()} == {"P1": False, "P2": True, "P3": False}
+
+
+def test_processing_order_over_several_batches(spark, tmp_path):
+    """A product that arrives after later ones is judged, and so is the one that follows it."""
+    from passledger.streaming import audits
+
+    schema = "opera_id string, mgrs_tile_id string, acq_time timestamp, processing_time timestamp"
+    arrivals = [
+        [("B", "2026-01-02", "2026-01-05"), ("D", "2026-01-04", "2026-01-06")],
+        [("A", "2026-01-01", "2026-01-07"), ("C", "2026-01-03", "2026-01-05"), ("B", "2026-01-02", "2026-01-05")],
+        [("F", "2027-06-01", "2027-06-02")],
+        [("E", "2026-01-05", "2026-01-05")],
+        [("0", "2025-12-31", "2026-01-09"), ("G", "2027-06-02", "2027-06-01")],
+    ]
+    (tmp_path / "in").mkdir()
+    stream = audits.processing_order(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+    q = stream.writeStream.format("memory").queryName("late_order").option("checkpointLocation", str(tmp_path / "c")).start()
+    for rows in arrivals:
+        df = spark.createDataFrame([(a, "T", b, c) for a, b, c in rows], "a string, t string, b string, c string")
+        df.selectExpr("a as opera_id", "t as mgrs_tile_id", "cast(b as timestamp) as acq_time", "cast(c as timestamp) as processing_time").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q.processAllAvailable()
+    q.stop()
+    got = {}
+    for r in sorted(spark.table("late_order").collect(), key=lambda r: r.revision):
+        got[r.opera_id] = (r.prev_opera_id, r.out_of_order, r.revision, r.too_late)
+    assert got == {
+        "A": (None, False, 0, False), "B": ("A", True, 1, False), "C": ("B", False, 0, False), "D": ("C", False, 1, False),
+        "E": ("D", True, 0, False), "F": ("E", False, 1, False), "0": (None, False, 0, True), "G": ("F", True, 0, False),
+    }
+    times = {r.opera_id: (str(r.acq_time), str(r.processing_time)) for r in spark.table("late_order").collect()}
+    assert times["A"] == ("2026-01-01 00:00:00", "2026-01-07 00:00:00")
+
+
+def test_versions_are_counted_exactly(spark, tmp_path):
+    from passledger.streaming import audits
+
+    schema = "opera_id string, acq_time timestamp, opera_dedup_id string"
+    n = 3000
+    spark.range(2 * n).selectExpr("concat('P', id % {0}) as opera_id".format(n), "timestamp'2026-01-01' as acq_time", "'a' as opera_dedup_id").coalesce(1).write.parquet(str(tmp_path / "in"))
+    counts = audits.version_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+    q = counts.writeStream.format("memory").outputMode("complete").queryName("versions").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert [r.n_versions for r in spark.table("versions").collect()] == [n]
