@@ -3,9 +3,11 @@
 Documents with equal shingle sets form a class first; one representative of each class
 goes on.  A representative's minwise tokens (coordinates of its MinHash signature) place
 it in the nodes of independent trees: the first two levels of a tree take one coordinate
-each, a node above `node_limit` branches on coordinates chosen by a hash of its path,
-1 / similarity of them on average.  Nodes within the limit are compared exhaustively by
-signature, and pairs that may reach the similarity are confirmed on their full sets.
+each.  Nodes within `node_limit` are compared exhaustively by signature, and pairs that may
+reach the similarity are confirmed on their full sets.  A node up to `BLOCK_TIMES` as large
+is cut into pairs of blocks, which loses nothing.  A larger one branches on coordinates
+chosen by a hash of its path, 1 / similarity of them on average; it does so in several
+copies with choices of their own, because a pair may part in each step.
 
 Only components matter.  Inside a node a breadth-first search over signatures finds which
 members may hang together, and emits a forest, never all pairs.  These forests join into
@@ -33,14 +35,18 @@ _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
 #: Coordinates of a signature, in bytes 4 times as many.
 COORDINATES = 64
-#: Chance to miss a pair at the threshold, in all trees together.
+#: Chance to miss a pair at the threshold, in all trees and levels together.
 MISS = 1e-6
 #: Members of a node that one task compares exhaustively; times as many for a group, and bytes of its texts.
 NODE_LIMIT, GROUP_TIMES = 2048, 6
 GROUP_BYTES = 24_000_000
-#: Levels of branching below the second; nodes that are too large even then fall into pairs of blocks.
+#: Nodes up to so many times the limit are cut into pairs of blocks at once; copies of a larger one, at most.
+BLOCK_TIMES, MOST_COPIES = 4, 64
+#: Levels of branching below the second; nodes that are too large even then fall into pairs of blocks, however many.
 MAX_LEVELS = 6
 _BLOCK = 1_000_000
+#: Rows that branch at once: copies times 64 draws each.
+_BRANCHED = 1024
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -120,6 +126,33 @@ def trees_for(similarity: float, miss: float = MISS) -> int:
     return min(COORDINATES // 2, max(2, math.ceil(math.log(miss) / math.log(1 - similarity**2)))) if similarity < 1 else 2
 
 
+def missed(similarity: float, trees: int, copies: int) -> float:
+    """Chance to miss a pair at the threshold if all its nodes branch `MAX_LEVELS` times, on one set of coordinates.
+
+    Given `m` equal coordinates, the copies of the nodes that a pair shares lose it
+    independently; over the pairs of coordinates that trees start with, `m` is dealt at random.
+    """
+    n, q, total = COORDINATES, 1 / (similarity * COORDINATES), 0.0
+    for m in range(n + 1):
+        lost = 0.0
+        for _ in range(MAX_LEVELS):
+            lost = (1 - q + q * lost) ** m + (1 - q) ** n * m / n * (lost - 1)
+        ways = np.array([1.0])
+        for _ in range(trees):
+            ways = np.convolve(ways, [1.0, 2.0, max(0.0, lost) ** copies])
+        ways = np.convolve(ways, [float(math.comb(n - 2 * trees, i)) for i in range(n - 2 * trees + 1)])
+        total += similarity**m * (1 - similarity) ** (n - m) * ways[m]
+    return total
+
+
+def copies_for(similarity: float, miss: float = MISS) -> int:
+    """Copies of a node that branches, so that a pair at the threshold is missed with chance `miss` at
+    most, or with hardly more than by the first two levels where these alone exceed it."""
+    trees = trees_for(similarity)
+    bound = max(miss, 1.05 * (1 - similarity**2) ** trees)
+    return next((c for c in range(1, MOST_COPIES) if missed(similarity, trees, c) <= bound), MOST_COPIES)
+
+
 def least_agreement(similarity: float, miss: float = MISS) -> int:
     """Equal coordinates that a pair at the threshold falls short of with chance `miss` at most."""
     tail = 0.0
@@ -146,19 +179,22 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
 
-def _branched(similarity: float):
-    """Children of nodes: coordinates by a hash of the path, 1 / similarity of them on average, one at least."""
+def _branched(similarity: float, copies: int = 1):
+    """Children of nodes: coordinates by a hash of the path, 1 / similarity of them on average, one at
+    least; from `copies` of each node, which choose independently."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sig = _signatures(batch.column("sig")).astype(np.uint64)
+        for batch in (b.slice(at, _BRANCHED) for b in batches for at in range(0, b.num_rows, _BRANCHED)):
+            sig = np.tile(_signatures(batch.column("sig")).astype(np.uint64), (copies, 1))
             node = batch.column("node").to_numpy().view(np.uint64)
+            node = np.concatenate([node, *[_mixed(node ^ _mixed(np.full(1, c << 32, np.uint64))) for c in range(1, copies)]])
             draw = _mixed(node[:, None] ^ _mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64))[None, :])
             chosen = draw < np.uint64(int(2.0**64 / (similarity * COORDINATES)))
             chosen |= draw == draw.min(axis=1, keepdims=True)
             row, j = np.nonzero(chosen)
             child = _mixed(_mixed(node[row] + j.astype(np.uint64) + np.uint64(1)) ^ sig[row, j])
-            yield pa.RecordBatch.from_pydict({"tree": batch.column("tree").take(pa.array(row)), "node": pa.array(child.view(np.int64)), "rep": batch.column("rep").take(pa.array(row))})
+            own = pa.array(row % batch.num_rows)
+            yield pa.RecordBatch.from_pydict({"tree": batch.column("tree").take(own), "node": pa.array(child.view(np.int64)), "rep": batch.column("rep").take(own)})
 
     return run
 
@@ -328,18 +364,20 @@ def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
         if not large.limit(1).count():
             break
         rest = open_.join(large, "node")
-        if level == MAX_LEVELS:
-            done = done.unionByName(_block_pairs(rest, limit))
-        else:
-            open_ = rest.join(classes, "rep").select("tree", "node", "rep", "sig").mapInArrow(_branched(similarity), shape).distinct()
+        wide = F.col("n") > limit * BLOCK_TIMES
+        ends = level == MAX_LEVELS or not large.where(wide).limit(1).count()
+        done = done.unionByName(_block_pairs(rest if ends else rest.where(~wide), limit))
+        if ends:
+            break
+        open_ = rest.where(wide).join(classes, "rep").select("tree", "node", "rep", "sig").mapInArrow(_branched(similarity, 1 if level else copies_for(similarity)), shape).distinct()
     members = stored(done.join(classes, "rep").select("tree", "node", "rep", "sig"), "members")
     discard(*used)
     return members
 
 
 def _block_pairs(rows: DataFrame, limit: int) -> DataFrame:
-    """Members of nodes that do not shrink, such as sets with equal signatures: the node is cut into
-    blocks, and each pair of blocks is a node of its own, so that all its pairs are still compared."""
+    """Members of nodes moderately above the limit, or that do not shrink, such as sets with equal
+    signatures: the node is cut into blocks, and each pair of blocks is a node of its own, so that all its pairs are still compared."""
     blocks = F.ceil(F.col("n") * 2.6 / limit) + 1
     df = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     df = df.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))

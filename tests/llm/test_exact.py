@@ -154,6 +154,35 @@ def test_parameters_reach_the_recall():
         assert 0 < neardup.least_agreement(similarity) < similarity * neardup.COORDINATES
 
 
+def test_recall_includes_branching():
+    for percent in (80, 85, 95):
+        trees, copies = neardup.trees_for(percent / 100), neardup.copies_for(percent / 100)
+        assert neardup.missed(percent / 100, trees, copies) <= 1e-6
+        assert neardup.missed(percent / 100, trees, 1) > 1e-4  # as it was, with one copy
+
+
+def test_pairs_stay_together_in_branching():
+    """Pairs at the threshold whose nodes are too large in every tree and on every level."""
+    import pyarrow as pa
+
+    rng, n, similarity = np.random.default_rng(3), 400, 0.85
+    one = rng.integers(0, 1 << 32, (n, neardup.COORDINATES), np.uint64).astype(np.uint32)
+    other = np.where(rng.random(one.shape) < similarity, one, one + np.uint32(1))
+
+    def together(run, tree, node, pair):
+        """Children that both members of a pair are in, as (tree, node, pair)."""
+        found = []
+        for sig in (one, other):
+            columns = {"tree": pa.array(tree, pa.int32()), "node": pa.array(node, pa.int64()), "rep": pa.array(pair, pa.int64()), "sig": pa.array([sig[i].tobytes() for i in pair], pa.binary())}
+            found.append({r for b in run([pa.RecordBatch.from_pydict(columns)]) for r in zip(*(b.column(c).to_pylist() for c in ("tree", "node", "rep")))})
+        return zip(*sorted(found[0] & found[1]))
+
+    at = together(neardup._planted(neardup.trees_for(similarity)), [0] * n, [0] * n, range(n))
+    for level in range(neardup.MAX_LEVELS):
+        at = together(neardup._branched(similarity, 1 if level else neardup.copies_for(similarity)), *at)
+    assert set(list(at)[2]) == set(range(n))
+
+
 # ---- mixing
 
 
