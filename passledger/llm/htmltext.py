@@ -25,7 +25,9 @@ from passledger.llm.crf import Crf, slot, train
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body br button canvas caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe label legend li link main menu meta nav noscript ol optgroup option p pre search section select summary table tbody td template textarea tfoot th thead title tr ul".split())
 #: Their content is markup or code, never text.
-_SILENT = frozenset("script style template noembed noframes iframe svg math object".split())
+_SILENT = frozenset("script style template noembed noframes iframe".split())
+#: Foreign and embedded content; without an end tag only the start tag is passed over.
+_FOREIGN = re.compile(r"<(/?)(svg|math|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I)
 #: A start tag that closes the nearest open one of these, unless one of the stops is nearer.
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre search section summary table ul".split())
@@ -44,6 +46,19 @@ class Block:
     linked: float
 
 
+def _foreign_ends(page: str) -> dict[int, int]:
+    """Where foreign elements start, and the end of the end tag of the same nesting."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in _FOREIGN.finditer(page):
+        own = opened.setdefault(m[2].lower(), [])
+        if not m[1] and not m[0].endswith("/>"):
+            own.append(m.start())
+        elif m[1] and own:
+            ends[own.pop()] = m.end()
+    return ends
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a page with text, in page order."""
     out: list[Block] = []
@@ -52,6 +67,7 @@ def blocks_of(page: str | None) -> list[Block]:
     linked = 0
     at = 0
     page = page or ""
+    foreign_ends: dict[int, int] | None = None
 
     def flush():
         nonlocal linked
@@ -89,7 +105,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if m[3] is None:
             continue
         tag = m[3].lower()
-        if tag in _BLOCK or tag in _SILENT:
+        if tag in _BLOCK or tag in _SILENT or tag == "svg":
             flush()
         if m[2]:
             close({tag})
@@ -99,6 +115,13 @@ def blocks_of(page: str | None) -> list[Block]:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
+        if tag in ("svg", "math", "object"):
+            foreign_ends = _foreign_ends(page) if foreign_ends is None else foreign_ends
+            if m.start() not in foreign_ends:
+                continue
+            if tag == "svg":
+                at = foreign_ends[m.start()]
+                continue
         if tag in _CLOSES:
             close(*_CLOSES[tag])
         if tag in _CLOSES_P:

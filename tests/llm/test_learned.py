@@ -119,6 +119,16 @@ def test_blocks():
     assert [b.text for b in htmltext.blocks_of("a < b <p class='x>y'>c</p> d<")] == ["a < b", "c", "d<"]
 
 
+def test_foreign_content_hides_no_text():
+    texts = lambda page: [b.text for b in htmltext.blocks_of(page)]
+    assert texts("<p>Let <math><mi>x</mi></math> be</p><object data='a'>fall <object>back</object> here</object><p>z") == ["Let x be", "fall back here", "z"]
+    for tag in ("svg", "math", "object"):
+        assert texts(f"<p>one<{tag} id='>'><p>two</p><p>three") == ["one", "two", "three"]
+        assert texts(f"<p>one<{tag}/><p>two") == ["one", "two"]
+    assert texts("<p>one<svg><g>a<svg>b</svg>c</g></svg> two<p>three") == ["one", "two", "three"]
+    assert texts("<svg>one<svg>b</svg><p>two") == ["one", "two"]
+
+
 def test_held_out_pages(extractor):
     right = total = 0
     for blocks, labels in htmltext.training_pages(200, seed=77):
