@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from passledger.llm.common import pick, text_blocks
 
 WINDOW, EMBEDDING, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
-#: The sample that the network is fitted on: documents of a language, windows of a document, longest text, languages.
+#: The sample that the network is fitted on: documents of a language, windows of a
+#: document, characters of a document, languages with so many documents (more languages share them).
 SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_CHARS, SAMPLE_LANGS = 400, 6, 60_000, 256
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -161,18 +162,24 @@ def _gradients(p: list[np.ndarray], x: np.ndarray, y: np.ndarray, weight: np.nda
 def training_sample(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_out: int = 1) -> list[tuple[str, str]]:
     """(text, lang) of documents outside the held-out fold of crc32(id as text), in a fixed order.
 
-    Bounded by `SAMPLE_DOCS` a language, `SAMPLE_LANGS` languages (the first by name) and
-    `SAMPLE_CHARS`.  Rows without id, text or language take no part.
+    Bounded by `SAMPLE_DOCS` a language, fewer if there are more than `SAMPLE_LANGS`
+    languages but one at least, and by `SAMPLE_CHARS`, in pieces from all over a longer text.
+    Of rows that repeat id and language one counts.  Rows without id, text or language take no part.
     """
     rows = pick(documents, doc_id=id_col, text=text_col, lang=lang_col)
-    rows = rows.where("doc_id is not null and lang is not null").where(F.length("text").between(1, SAMPLE_CHARS))
+    rows = rows.where("doc_id is not null and lang is not null").where(F.length("text") >= 1)
     rows = rows.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != held_out)
     # Only ids are ranked; texts are fetched for the chosen ones.
     ranked = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= SAMPLE_DOCS)
-    chosen = chosen.orderBy("lang", "n").limit(SAMPLE_DOCS * SAMPLE_LANGS).select("doc_id", "lang").distinct()
+    share = max(1, min(SAMPLE_DOCS, SAMPLE_DOCS * SAMPLE_LANGS // max(1, rows.select("lang").distinct().count())))
+    chosen = rows.select("doc_id", "lang").distinct().withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= share).drop("n")
     found = rows.join(F.broadcast(chosen), ["doc_id", "lang"])
-    return [(r["text"], r["lang"]) for r in found.orderBy("lang", "doc_id", "text").limit(2 * SAMPLE_DOCS * SAMPLE_LANGS).collect()]
+    piece = SAMPLE_CHARS // SAMPLE_WINDOWS
+    step = F.floor((F.length("text") - piece) / (SAMPLE_WINDOWS - 1))
+    pieces = [F.substring("text", (step * i + 1).cast("int"), F.lit(piece)) for i in range(SAMPLE_WINDOWS)]
+    found = found.withColumn("text", F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(F.concat(*pieces)))
+    found = found.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+    return [(r["text"], r["lang"]) for r in found.orderBy("lang", "doc_id").collect()]
 
 
 def _predictor(shared, schema: pa.Schema):

@@ -207,6 +207,17 @@ def test_language_sample_is_bounded_and_blind(spark, sf_dir):
     assert langid.training_sample(df.limit(0)) == []
 
 
+def test_language_sample_has_every_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 2)
+    monkeypatch.setattr(langid, "SAMPLE_LANGS", 3)
+    rows = [(i, "text", f"l{i % 10:02}") for i in range(200)] + [(i, "a" * 40_000 + "é" * 40_000, "zz") for i in range(300, 310)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = langid.training_sample(df)
+    assert [y for _, y in sample] == sorted({y for _, _, y in rows})
+    long = sample[-1][0]
+    assert len(long) <= langid.SAMPLE_CHARS and set(long) == {"a", "é"}
+
+
 @pytest.fixture(scope="module")
 def toxic_rows(sf_dir):
     return table(sf_dir, "select doc_id, text, toxic from documents join labels using (doc_id) order by 1")
