@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passledger.functions import ids, times
 from passledger.operators.frame import dual_polarized
-from passledger.operators.temporal import around, nearest_distance, within_windows
+from passledger.operators.temporal import around, lookback, nearest_distance
 from passledger.schemas import LOOKBACK_DAYS, TOLERANCE_SECONDS, WINDOW_DAYS
 
 GROUP = ["mgrs_tile_id", "acq_group_id_within_mgrs_tile", "pass_id"]
@@ -26,10 +26,10 @@ def expected_pass_groups(frame: DataFrame, start: str, stop: str) -> DataFrame:
         near = near.where(F.col(c).isNotNull())
     groups = near.groupBy(*GROUP).agg(
         F.min("acq_dt").alias("post_acq_dt"),
-        F.count_distinct("jpl_burst_id").alias("n_bursts"),
+        F.size(F.collect_set("jpl_burst_id")).cast("long").alias("n_bursts"),
         F.min("track_token").alias("track_token"),
-        F.array_sort(F.collect_set("jpl_burst_id")).alias("burst_ids"),
-        F.array_sort(F.collect_set(ids.burst_pol())).alias("burst_pols"),
+        F.sort_array(F.collect_set("jpl_burst_id")).alias("burst_ids"),
+        F.sort_array(F.collect_set(ids.burst_pol())).alias("burst_pols"),
     )
     return groups.where((F.col("post_acq_dt") >= begin) & (F.col("post_acq_dt") < end))
 
@@ -51,11 +51,17 @@ def matched_passes(groups: DataFrame, dedup: DataFrame, tolerance: int = TOLERAN
 
 def baseline_counts(passes: DataFrame, frame: DataFrame, windows: tuple[int, ...] = LOOKBACK_DAYS, width_days: int = WINDOW_DAYS) -> DataFrame:
     """`n_bursts_with_baseline` of passes: burst|polarization keys with an acquisition in a lookback window."""
-    keyed = passes.select(*GROUP, "post_acq_dt", F.explode("burst_pols").alias("burst_pol"))
-    acquisitions = dual_polarized(frame).dropDuplicates(["opera_id"]).select(ids.burst_pol().alias("burst_pol"), F.col("acq_dt").alias("_acq")).distinct()
-    pairs = within_windows(keyed, acquisitions, ["burst_pol"], "post_acq_dt", "_acq", windows, width_days)
-    counted = pairs.groupBy(*GROUP).agg(F.count_distinct("burst_pol").alias("n_bursts_with_baseline"))
-    return passes.select(*GROUP).join(counted, GROUP, "left").fillna(0, ["n_bursts_with_baseline"])
+    return passes.select(*GROUP).join(_with_baseline(passes, frame, windows, width_days), GROUP, "left").fillna(0, ["n_bursts_with_baseline"])
+
+
+def _with_baseline(passes: DataFrame, frame: DataFrame, windows: tuple[int, ...], width_days: int) -> DataFrame:
+    """The count of passes where it is not zero."""
+    keyed = passes.select(*GROUP, times.micros(F.col("post_acq_dt")).alias("_t"), F.explode("burst_pols").alias("burst_pol"))
+    seen = dual_polarized(frame).select(ids.burst_pol().alias("burst_pol"), times.micros(F.col("acq_dt")).alias("_t")).dropna().distinct().withColumn("_seen", F.lit(1))
+    both = keyed.unionByName(seen, allowMissingColumns=True)
+    any_seen = F.coalesce(*[F.max("_seen").over(w) for w in lookback(["burst_pol"], "_t", windows, width_days)])
+    based = both.withColumn("_any", any_seen).where(F.col("_seen").isNull() & F.col("_any").isNotNull() & F.col("_t").isNotNull())
+    return based.groupBy(*GROUP).agg(F.count_distinct("burst_pol").alias("n_bursts_with_baseline"))
 
 
 def check_coverage(groups: DataFrame, dedup: DataFrame, frame: DataFrame | None = None, tolerance: int = TOLERANCE_SECONDS, windows: tuple[int, ...] = LOOKBACK_DAYS, width_days: int = WINDOW_DAYS, product_label: str = "output") -> DataFrame:
@@ -66,7 +72,8 @@ def check_coverage(groups: DataFrame, dedup: DataFrame, frame: DataFrame | None
         expected, detail = F.lit(True), F.lit("baseline not checked (no lookback RTC metadata)")
     else:
         missing = df.where(~F.col("product_found"))
-        df = df.join(baseline_counts(missing, frame, windows, width_days), GROUP, "left")
+        df = df.join(_with_baseline(missing, frame, windows, width_days), GROUP, "left")
+        df = df.withColumn("n_bursts_with_baseline", F.when(~F.col("product_found"), F.coalesce("n_bursts_with_baseline", F.lit(0))))
         expected = F.coalesce(F.col("n_bursts_with_baseline") > 0, F.lit(False))
         some = F.concat(F.col("n_bursts_with_baseline").cast("string"), F.lit("/"), F.col("n_bursts").cast("string"), F.lit(" bursts have baseline imagery"))
         detail = F.when(expected, some).otherwise(F.lit("no baseline imagery; product not expected"))
@@ -90,11 +97,5 @@ def missing_passes(coverage: DataFrame) -> DataFrame:
 
 def missing_by_tile(missing: DataFrame) -> DataFrame:
     """Missing passes of each tile and their dates in order."""
-    out = missing.groupBy("mgrs_tile_id").agg(F.count("*").alias("n_missing"), F.array_sort(F.collect_list("post_acq_dt")).alias("_dates"))
+    out = missing.groupBy("mgrs_tile_id").agg(F.count("*").alias("n_missing"), F.sort_array(F.collect_list("post_acq_dt")).alias("_dates"))
     return out.select("mgrs_tile_id", "n_missing", F.array_join(F.transform("_dates", lambda t: F.date_format(t, "yyyy-MM-dd")), ";").alias("missing_post_dates"))
-
-
-def newest_matches(coverage: DataFrame) -> DataFrame:
-    """Of each matched product, the nearest pass."""
-    by_product = Window.partitionBy("matched_opera_id").orderBy("time_diff_seconds", "post_acq_dt", "pass_id")
-    return coverage.where("product_found").withColumn("_nth", F.row_number().over(by_product)).where("_nth = 1").drop("_nth")

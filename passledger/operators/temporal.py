@@ -1,12 +1,12 @@
 """Joins on time: nearest match, interval membership, distance to the nearest.
 
-All are equi-joins on a key and a time bin with an exact condition on top, or windows, so
-that no key is compared with all times of another table.
+All are equi-joins on a key and a time bin with an exact condition on top, or windows over
+the rows of both tables in time order, so that no time is compared with all others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from passledger.functions import times
@@ -19,25 +19,14 @@ def around(t: Column, width_us: int) -> Column:
     return F.array(b - 1, b, b + 1)
 
 
-def lookback_windows(windows: tuple[int, ...] = LOOKBACK_DAYS) -> Column:
-    return F.array(*[F.struct(F.lit(i).alias("window"), F.lit(d).alias("days")) for i, d in enumerate(windows)])
+def lookback(keys: list[str], t: str, windows: tuple[int, ...] = LOOKBACK_DAYS, width_days: int = WINDOW_DAYS) -> list[WindowSpec]:
+    """For each lookback distance d, the rows of the same keys at [t - d - width, t - d); `t` holds microseconds.
 
-
-def within_windows(posts: DataFrame, acquisitions: DataFrame, keys: list[str], post_col: str, acq_col: str, windows: tuple[int, ...] = LOOKBACK_DAYS, width_days: int = WINDOW_DAYS) -> DataFrame:
-    """Pairs of a post time and an earlier acquisition of the same keys, with the `window` it lies in.
-
-    Window d holds [post - d - width, post - d).  A window touches two bins of its width at
-    most; `posts` times out to these and joins by key and bin.
+    All share one order, so that rows are dealt out and sorted once for all windows and no
+    row is repeated for a window.
     """
-    width = width_days * times.DAY
-    df = posts.withColumn("_w", F.explode(lookback_windows(windows)))
-    end = times.micros(F.col(post_col)) - F.col("_w.days") * F.lit(times.DAY)
-    df = df.withColumn("_end", end).withColumn("_begin", end - width).withColumn("window", F.col("_w.window"))
-    bin_of = lambda c: F.floor(c / F.lit(width)).cast("long")
-    df = df.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("_begin")), bin_of(F.col("_end") - 1)))).drop("_w")
-    acq = acquisitions.withColumn("_at", times.micros(F.col(acq_col))).withColumn("_bin", times.bins(F.col(acq_col), width))
-    pairs = df.join(acq, [*keys, "_bin"]).where((F.col("_at") >= F.col("_begin")) & (F.col("_at") < F.col("_end")))
-    return pairs.drop("_bin", "_begin", "_end", "_at")
+    order, width = Window.partitionBy(*keys).orderBy(t), width_days * times.DAY
+    return [order.rangeBetween(-(d * times.DAY + width), -(d * times.DAY) - 1) for d in windows]
 
 
 def nearest_distance(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, name: str) -> DataFrame:

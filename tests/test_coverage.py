@@ -58,7 +58,9 @@ def test_baseline_windows_are_half_open(spark):
 def test_windows_against_brute_force(spark):
     posts = spark.createDataFrame([(i, "k", T0 + timedelta(days=i, hours=7 * i)) for i in range(20)], "n int, key string, post timestamp")
     acqs = spark.createDataFrame([("k", T0 - timedelta(days=d, hours=(d * 5) % 24)) for d in range(330, 1200, 3)], "key string, acq timestamp")
-    got = {(r.n, r.acq, r.window) for r in temporal.within_windows(posts, acqs, ["key"], "post", "acq").collect()}
+    both = posts.withColumn("t", F.unix_micros("post")).unionByName(acqs.withColumn("t", F.unix_micros("acq")), allowMissingColumns=True)
+    rows = both.select("*", *[F.collect_list("acq").over(w).alias(f"w{i}") for i, w in enumerate(temporal.lookback(["key"], "t"))]).where("n is not null").collect()
+    got = {(r.n, acq, i) for r in rows for i in range(3) for acq in r[f"w{i}"]}
     want = {(p.n, a.acq, w) for p in posts.collect() for a in acqs.collect() for w, d in enumerate((365, 730, 1095)) if p.post - (d + 60) * DAY <= a.acq < p.post - d * DAY}
     assert got == want and want
 
