@@ -5,11 +5,10 @@ The issue texts are fixed values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from passledger.functions import ids, times
-from passledger.operators.enumerate import expected_index
 from passledger.operators.temporal import around
 from passledger.schemas import DUAL_POLARIZATIONS, MATCH_BUFFER_SECONDS, N_TRACKS
 
@@ -40,9 +39,13 @@ def tracks_adjacent(tracks: Column) -> Column:
 
 
 def polarization_map(inputs: DataFrame, keys: list[str]) -> DataFrame:
-    """Polarizations of each truncated id; of several granules the latest counts."""
+    """Polarizations of each truncated id; of several granules the latest counts.
+
+    With a track it reads the columns that the enumeration reads, so that Spark deals out inputs once for both.
+    """
     df = inputs.withColumn("opera_id_trunc", ids.truncated("opera_id"))
-    return df.groupBy(*keys, "opera_id_trunc").agg(F.max_by("polarizations", F.struct("acq_dt", "opera_id")).alias("polarizations")).where(F.col("polarizations").isNotNull())
+    latest = F.struct("acq_dt", "opera_id", *[c for c in ("track_number",) if c in inputs.columns])
+    return df.groupBy(*keys, "opera_id_trunc").agg(F.max_by("polarizations", latest).alias("polarizations")).where(F.col("polarizations").isNotNull())
 
 
 def polarization_issues(actual: DataFrame, pols: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,41 +54,61 @@ def polarization_issues(actual: DataFrame, pols: DataFrame, keys: list[str]) ->
     Inputs without known polarizations are passed over; of a burst's post inputs the last
     in the list counts.
     """
-    df = actual.join(pols, [*keys, "opera_id_trunc"])
+    return _with_post_polarization(actual.join(pols, [*keys, "opera_id_trunc"])).groupBy("product").agg(*_polarization_texts())
+
+
+def _with_post_polarization(known: DataFrame) -> DataFrame:
+    """Dealt out by product; `post_pol`: of the last post input with known polarizations of a product's burst."""
+    post = F.when(F.col("input_category") == "post", F.col("polarizations"))
+    place = F.when((F.col("input_category") == "post") & F.col("polarizations").isNotNull(), F.col("place"))
+    return known.repartition("product").withColumn("post_pol", F.max_by(post, place).over(Window.partitionBy("product", "jpl_burst_id")))
+
+
+def _polarization_texts() -> list[Column]:
     order = F.struct(F.when(F.col("input_category") == "pre", 0).otherwise(1).alias("c"), F.col("place").alias("p"))
-    text = lambda rows: F.array_join(F.transform(F.array_sort(F.collect_list(rows)), lambda x: x["text"]), ";")
+    text = lambda rows: F.array_join(F.transform(F.sort_array(F.collect_list(rows)), lambda x: x["text"]), ";")
     single = F.when(~F.col("polarizations").isin(*DUAL_POLARIZATIONS), F.struct(order.alias("o"), F.concat("opera_id_trunc", F.lit("="), "polarizations").alias("text")))
-    post = df.where("input_category = 'post'").groupBy("product", "jpl_burst_id").agg(F.max_by("polarizations", "place").alias("post_pol"))
-    df = df.join(post, ["product", "jpl_burst_id"], "left")
-    unlike = (F.col("input_category") == "pre") & (F.col("polarizations") != F.col("post_pol"))
+    unlike = (F.col("input_category") == "pre") & F.col("jpl_burst_id").isNotNull() & (F.col("polarizations") != F.col("post_pol"))
     differs = F.when(unlike, F.struct(order.alias("o"), F.concat("opera_id_trunc", F.lit("="), "polarizations", F.lit(" vs post-image "), "post_pol").alias("text")))
-    return df.groupBy("product").agg(text(single).alias("single_text"), text(differs).alias("mismatch_text"))
+    return [text(single).alias("single_text"), text(differs).alias("mismatch_text")]
 
 
 def _set(category: str, name: str) -> Column:
     return F.collect_set(F.when(F.col("input_category") == category, F.col("opera_id_trunc"))).alias(name)
 
 
-def actual_summary(actual: DataFrame) -> DataFrame:
-    """Sets, tracks and post times of each product's recorded inputs."""
+def _summaries() -> list[Column]:
+    """Sets, tracks and post times of recorded inputs."""
     post = F.when(F.col("input_category") == "post", F.col("acq_dt"))
     broken = F.col("jpl_burst_id").isNull() | F.col("track_number").isNull() | F.col("acq_dt").isNull()
-    return actual.groupBy("product").agg(
-        _set("pre", "pre_ids"), _set("post", "post_ids"), F.array_sort(F.collect_set("jpl_burst_id")).alias("bursts"), F.array_sort(F.collect_set("track_number")).alias("tracks"),
+    return [
+        _set("pre", "pre_ids"), _set("post", "post_ids"), F.sort_array(F.collect_set("jpl_burst_id")).alias("bursts"), F.sort_array(F.collect_set("track_number")).alias("tracks"),
         F.min(post).alias("post_min"), F.max(post).alias("post_max"), F.max(F.when(broken, F.col("input_id"))).alias("broken_id"),
-    )
+    ]
+
+
+def actual_summary(actual: DataFrame, keys: tuple[str, ...] = ("product",)) -> DataFrame:
+    """Sets, tracks and post times of each product's recorded inputs."""
+    return actual.groupBy(*keys).agg(*_summaries())
+
+
+def _audited(actual: DataFrame, pols: DataFrame, keys: list[str]) -> DataFrame:
+    """Summary and polarization issues of each product's recorded inputs, dealt out by product once."""
+    return _with_post_polarization(actual.join(pols, [*keys, "opera_id_trunc"], "left")).groupBy("product").agg(*_summaries(), *_polarization_texts())
 
 
 def match_expected(products: DataFrame, index: DataFrame, buffer: int = MATCH_BUFFER_SECONDS) -> DataFrame:
-    """`products` (product, mgrs_tile_id, tracks, post_min) with the `product_id` of the only expected
-    product of the tile that starts less than `buffer` seconds apart and shares a track; else null."""
+    """`products` (product, mgrs_tile_id, tracks, post_min) with the `product_id`, and what else `index`
+    holds, of the only expected product of the tile that starts less than `buffer` seconds apart and
+    shares a track; else null."""
     width = buffer * 1_000_000
     left = products.select("product", "mgrs_tile_id", "tracks", "post_min").withColumn("_bin", F.explode(around(F.col("post_min"), width)))
     right = index.withColumn("_bin", times.bins(F.col("post_min_dt"), width))
     close = times.seconds_between(F.col("post_min"), F.col("post_min_dt")) < buffer
     found = left.join(right, ["mgrs_tile_id", "_bin"]).where(close & F.arrays_overlap("tracks", "track_numbers"))
-    only = found.groupBy("product").agg(F.count("*").alias("_n"), F.min("product_id").alias("product_id")).where("_n = 1").drop("_n")
-    return products.join(only, "product", "left")
+    held = ["product_id", *[c for c in index.columns if c not in ("mgrs_tile_id", "product_id", "post_min_dt", "track_numbers")]]
+    only = found.select("product", F.struct(*held).alias("_x")).withColumn("_n", F.count("*").over(Window.partitionBy("product"))).where("_n = 1")
+    return products.join(only.select("product", "_x.*"), "product", "left")
 
 
 def _issue(when: Column, kind: str, value: Column) -> Column:
@@ -94,7 +117,6 @@ def _issue(when: Column, kind: str, value: Column) -> Column:
 
 def _differences() -> Column:
     """Issues of a product with an expected one, in a fixed order."""
-    lost = lambda a, b: F.array_sort(F.array_except(a, b))
     sets = [(PRE_LOST, "exp_pre", "pre_ids"), (PRE_MORE, "pre_ids", "exp_pre"), (POST_LOST, "exp_post", "post_ids"), (POST_MORE, "post_ids", "exp_post")]
     span = times.micros(F.col("post_max")) - times.micros(F.col("post_min"))
     issues = F.array(
@@ -103,7 +125,7 @@ def _differences() -> Column:
         _issue(~tracks_adjacent(F.col("tracks")), TRACKS, times.int_list(F.col("tracks"))),
         _issue(F.floor(span / times.DAY) > 1, SPAN, times.span_text(span)),
         _issue(F.col("exp_bursts") != F.col("bursts"), BURSTS, F.concat(F.lit("expected="), times.str_list(F.col("exp_bursts")), F.lit("; found="), times.str_list(F.col("bursts")))),
-        *[_issue(F.size(lost(a, b)) > 0, kind, F.array_join(lost(a, b), ";")) for kind, a, b in sets],
+        *[_issue(F.size(F.array_except(a, b)) > 0, kind, F.array_join(F.sort_array(F.array_except(a, b)), ";")) for kind, a, b in sets],
     )
     return F.filter(issues, lambda x: x.isNotNull())
 
@@ -116,8 +138,20 @@ def _exploded(df: DataFrame, issues: Column, unread: Column) -> DataFrame:
     return df.select(F.col("product").alias("opera_id"), "mgrs_tile_id", "inputs_correct", "_x.issue_type", "_x.issue_value")
 
 
-def expected_sets(expected: DataFrame) -> DataFrame:
-    return expected.groupBy("product_id").agg(_set("pre", "exp_pre"), _set("post", "exp_post"), F.array_sort(F.collect_set("jpl_burst_id")).alias("exp_bursts"))
+def _expected_sets() -> list[Column]:
+    return [_set("pre", "exp_pre"), _set("post", "exp_post"), F.sort_array(F.collect_set("jpl_burst_id")).alias("exp_bursts")]
+
+
+def expected_sets(expected: DataFrame, key: str = "product_id") -> DataFrame:
+    return expected.groupBy(key).agg(*_expected_sets())
+
+
+def expected_summary(expected: DataFrame) -> DataFrame:
+    """First post time, tracks and sets of each expected product, in one pass over its inputs."""
+    post = F.col("input_category") == "post"
+    own = expected.where(F.col("mgrs_tile_id").isNotNull()).groupBy("mgrs_tile_id", "product_id")
+    tracks = F.sort_array(F.collect_set(F.when(post, F.col("track_number")))).alias("track_numbers")
+    return own.agg(F.min(F.when(post, F.col("acq_dt"))).alias("post_min_dt"), tracks, *_expected_sets())
 
 
 _EMPTY = {"pre_ids": "array<string>", "post_ids": "array<string>", "bursts": "array<string>", "tracks": "array<int>", "exp_pre": "array<string>", "exp_post": "array<string>", "exp_bursts": "array<string>"}
@@ -132,12 +166,6 @@ def _one(kind: str, value: Column) -> Column:
     return F.array(F.struct(F.lit(kind).alias("issue_type"), value.cast("string").alias("issue_value")))
 
 
-def compare_inputs(products: DataFrame, actual: DataFrame, expected: DataFrame, pols: DataFrame, keys: list[str]) -> DataFrame:
-    """Result rows of products (product, mgrs_tile_id, product_id, summaries) with an expected product."""
-    df = products.join(expected_sets(expected), "product_id").join(polarization_issues(actual, pols, keys), "product", "left")
-    return _exploded(_completed(df), _differences(), F.lit(False))
-
-
 def check_inputs(tags: DataFrame, frame: DataFrame, expected: DataFrame, unfiltered: DataFrame | None = None, input_label: str = "RTC") -> DataFrame:
     """Audits the recorded inputs of all products in `tags`.
 
@@ -149,11 +177,11 @@ def check_inputs(tags: DataFrame, frame: DataFrame, expected: DataFrame, unfilte
     """
     read = F.coalesce(F.col("error") == "", F.lit(False))
     own = tags.withColumn("_read", read).where(~F.col("_read") | F.col("mgrs_tile_id").isNotNull())
-    actual = parse_actual_inputs(own.where("_read"))
-    known = frame.where(F.col("mgrs_tile_id").isNotNull()).select("mgrs_tile_id").distinct().withColumn("_known", F.lit(True))
-    products = own.select(F.col("opera_id").alias("product"), "mgrs_tile_id", "error", "_read").join(actual_summary(actual), "product", "left").join(known, "mgrs_tile_id", "left")
     keys, pols = (["mgrs_tile_id"], polarization_map(frame, ["mgrs_tile_id"])) if unfiltered is None else ([], polarization_map(unfiltered, []))
-    df = match_expected(products, expected_index(expected)).join(expected_sets(expected), "product_id", "left").join(polarization_issues(actual, pols, keys), "product", "left")
+    audited = _audited(parse_actual_inputs(own.where("_read")), pols, keys)
+    known = frame.where(F.col("mgrs_tile_id").isNotNull()).select("mgrs_tile_id").distinct().withColumn("_known", F.lit(True))
+    products = own.select(F.col("opera_id").alias("product"), "mgrs_tile_id", "error", "_read").join(known, "mgrs_tile_id", "left").join(audited, "product", "left")
+    df = match_expected(products, expected_summary(expected))
     df = _completed(df)
     post = F.coalesce(times.utc_text(F.col("post_min")), F.lit("NaT"))
     absent, broken = F.col("_known").isNull(), F.col("broken_id").isNotNull()
@@ -177,10 +205,10 @@ def online_comparison(tags: DataFrame, expected_of: DataFrame) -> DataFrame:
     own = tags.withColumn("_read", read)
     failed = expected_of.where(F.coalesce(F.col("error") != "", F.lit(False))).groupBy("product").agg(F.min("error").alias("_failed"))
     actual = parse_actual_inputs(own.where("_read"))
-    expected = expected_of.where(F.coalesce(F.col("error"), F.lit("")) == "").withColumn("product_id", F.col("product"))
+    expected = expected_of.where(F.coalesce(F.col("error"), F.lit("")) == "")
     pols = expected.groupBy("product", "opera_id_trunc").agg(F.max("polarizations").alias("polarizations")).where(F.col("polarizations").isNotNull())
-    df = own.select(F.col("opera_id").alias("product"), "mgrs_tile_id", "error", "_read").join(actual_summary(actual), "product", "left").join(failed, "product", "left")
-    df = df.join(expected_sets(expected).withColumnRenamed("product_id", "product"), "product", "left").join(polarization_issues(actual, pols, ["product"]), "product", "left")
+    df = own.select(F.col("opera_id").alias("product"), "mgrs_tile_id", "error", "_read").join(_audited(actual, pols, ["product"]), "product", "left").join(failed, "product", "left")
+    df = df.join(expected_sets(expected, "product"), "product", "left")
     unread, broken = ~F.col("_read"), F.col("_failed").isNotNull()
     issues = F.when(unread, _one(UNREAD, F.col("error"))).when(broken, _one(ENUMERATION, F.col("_failed"))).otherwise(_differences())
     return _exploded(_completed(df), issues, unread | broken)
