@@ -1,13 +1,12 @@
 """The audits' tables derived from the generic test tables, with planted defects.
 
+All are lazy, and nothing of them is kept: a query reads only what it needs of them.
 Orders stand for products, their lines for input granules, customers in fours for tiles.
 `queries` holds the same derivations in SQL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,15 +57,26 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("opera_id", "mgrs_tile_id", "acq_time", "processing_time", "sat", F.when(k % 41 != 0, url).alias("alert_url"), ids.truncated("opera_id").alias("opera_dedup_id"), _wkt(lon, lat).alias("geometry"))
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines (k, line) with the tile number and the date of their order."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.floor(F.col("o_custkey") / 4).alias("n"), "o_orderdate")
+    return li.join(o, "k")
+
+
+def _track(n: Column) -> Column:
+    return (1 + n % 175).cast("int")
+
+
+def _burst(n: Column, beam: Column) -> Column:
+    return F.concat(F.lit("T"), F.lpad(_track(n).cast("string"), 3, "0"), F.lit("-"), F.lpad(n.cast("string"), 6, "0"), F.lit("-IW"), (1 + beam).cast("string"))
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A granule for each line of an order; lines repeat."""
-    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
-    df = li.join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey").withColumn("n", F.floor(F.col("o_custkey") / 4))
-    k, line, n = F.col("o_orderkey"), F.col("l_linenumber"), F.col("n")
-    df = df.withColumn("track_number", (1 + n % 175).cast("int"))
-    burst = F.concat(F.lit("T"), F.lpad(F.col("track_number").cast("string"), 3, "0"), F.lit("-"), F.lpad(n.cast("string"), 6, "0"), F.lit("-IW"), (1 + line % 3).cast("string"))
-    df = df.withColumn("jpl_burst_id", burst).withColumn("acq_dt", _later(F.col("o_orderdate").cast("timestamp"), 3 * line))
-    df = df.withColumn("processing_dt", _later(F.col("acq_dt"), 10_800 + k))
+    k, line, n = F.col("k"), F.col("line"), F.col("n")
+    df = _lines(spark, sf_dir).withColumn("track_number", _track(n)).withColumn("jpl_burst_id", _burst(n, line % 3))
+    df = df.withColumn("acq_dt", _later(F.col("o_orderdate").cast("timestamp"), 3 * line)).withColumn("processing_dt", _later(F.col("acq_dt"), 10_800 + k))
     df = df.withColumn("opera_id", F.concat(F.lit("FX_L2_RTC_"), F.concat_ws("_", "jpl_burst_id", _stamp(F.col("acq_dt")), _stamp(F.col("processing_dt")), F.lit("S1A"))))
     pol = F.when((k + line) % 10 == 0, "VV").when(k % 3 == 0, "HH+HV").otherwise("VV+VH")
     return df.select("opera_id", "jpl_burst_id", "acq_dt", "processing_dt", "track_number", pol.alias("polarizations"), ids.truncated("opera_id").alias("opera_dedup_id"), F.when(k % 53 != 0, F.lit("POLYGON ((0 0, 1 0, 1 1, 0 0))")).alias("geometry"), n.alias("n"))
@@ -76,11 +86,16 @@ def inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.deduplicate_inputs(raw_inputs(spark, sf_dir))
 
 
-def lut(granules: DataFrame) -> DataFrame:
+def _bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(jpl_burst_id, n): every acquisition has one granule that stays, so that lines tell all bursts."""
+    beams = _lines(spark, sf_dir).select("n", (F.col("line") % 3).alias("beam")).distinct()
+    return beams.select(_burst(F.col("n"), F.col("beam")).alias("jpl_burst_id"), "n")
+
+
+def lut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each burst's tile, and for -IW1 bursts the next tile as well."""
-    own = granules.select("jpl_burst_id", "n").distinct()
-    both = own.select("jpl_burst_id", _tile(F.col("n")).alias("mgrs_tile_id"))
-    return both.unionByName(own.where(F.col("jpl_burst_id").endswith("-IW1")).select("jpl_burst_id", _tile(F.col("n") + 1).alias("mgrs_tile_id")))
+    n = F.explode(F.when(F.col("jpl_burst_id").endswith("-IW1"), F.array("n", F.col("n") + 1)).otherwise(F.array("n")))
+    return _bursts(spark, sf_dir).select("jpl_burst_id", n.alias("n")).select("jpl_burst_id", _tile(F.col("n")).alias("mgrs_tile_id"))
 
 
 def boxes(df: DataFrame, name: str) -> DataFrame:
@@ -94,32 +109,20 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes(n.withColumn("mgrs_tile_id", _tile(F.col("n"))), "mgrs_tile_id")
 
 
-def bursts(granules: DataFrame) -> DataFrame:
-    return boxes(granules.select("jpl_burst_id", "n").distinct(), "jpl_burst_id")
-
-
-_KEPT: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def kept(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A derived table, cached for the session: many audits read the same few."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _KEPT or not _KEPT[key].is_cached:
-        _KEPT[key] = make().persist()
-    return _KEPT[key]
+def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boxes(_bursts(spark, sf_dir), "jpl_burst_id")
 
 
 def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    granules = inputs(spark, sf_dir)
-    return kept(spark, sf_dir, "frame", lambda: build_input_frame(granules.drop("n"), lut(granules)))
+    return build_input_frame(inputs(spark, sf_dir).drop("n"), lut(spark, sf_dir))
 
 
 def expected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kept(spark, sf_dir, "expected", lambda: build_expected_products(frame(spark, sf_dir)))
+    return build_expected_products(frame(spark, sf_dir))
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kept(spark, sf_dir, "tags", lambda: _tags(spark, sf_dir, expected(spark, sf_dir)))
+    return _tags(spark, sf_dir, expected(spark, sf_dir))
 
 
 def _tags(spark: SparkSession, sf_dir: str, expected: DataFrame) -> DataFrame:
@@ -132,7 +135,7 @@ def _tags(spark: SparkSession, sf_dir: str, expected: DataFrame) -> DataFrame:
     p = p.withColumn("prior_product", prior).withColumn("k", k).where("k % 29 <> 0")
     track = (1 + F.col("mgrs_tile_id").cast("int") % 175).cast("string")
     p = p.withColumn("product_id", F.concat_ws("/", "mgrs_tile_id", track, F.datediff(F.col("acq_time"), F.lit("1970-01-01").cast("date")).cast("string")))
-    own = expected.groupBy("product_id").agg(*[F.array_sort(F.collect_set(F.when(F.col("input_category") == c, F.col("opera_id")))).alias(c) for c in ("pre", "post")])
+    own = expected.groupBy("product_id").agg(*[F.sort_array(F.collect_set(F.when(F.col("input_category") == c, F.col("opera_id")))).alias(c) for c in ("pre", "post")])
     p = p.join(own, "product_id", "left").withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in ("pre", "post")})
     pre, post = F.col("pre"), F.col("post")
     pre = F.when((F.col("k") % 13 == 0) & (F.size(pre) > 0), F.slice(pre, 2, 1_000_000)).otherwise(pre)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from passledger.functions import ids, times
 from passledger.functions.geometry import wkt_bounds, wkt_intersects_box, wkt_largest_part
-from passledger.operators.frame import bounded
 from passledger.schemas import AOI_MARGIN_DEGREES, EARTH, LOOKBACK_DAYS, WINDOW_DAYS
 
 Box = tuple[float, float, float, float]
@@ -46,8 +45,8 @@ def tiles_in_box(tiles: DataFrame, box: Box) -> DataFrame:
 
 def widened_box(tiles: DataFrame, lut: DataFrame, bursts: DataFrame, margin: float = AOI_MARGIN_DEGREES) -> DataFrame:
     """One row: bounds of all bursts that feed `tiles`, wider by `margin` and within the earth's."""
-    used = lut.join(bounded(tiles), "mgrs_tile_id", "left_semi").select("jpl_burst_id").distinct()
-    b = bursts.join(bounded(used), "jpl_burst_id", "left_semi")
+    used = lut.join(tiles, "mgrs_tile_id", "left_semi").select("jpl_burst_id").distinct()
+    b = bursts.join(used, "jpl_burst_id", "left_semi")
     low = lambda c, least: F.greatest(F.min(c) - margin, F.lit(least)).alias(c)
     high = lambda c, most: F.least(F.max(c) + margin, F.lit(most)).alias(c)
     return b.agg(low("lon_min", EARTH[0]), low("lat_min", EARTH[1]), high("lon_max", EARTH[2]), high("lat_max", EARTH[3]))

@@ -64,7 +64,7 @@ def check_confirmation(dedup: DataFrame, tags: DataFrame, expect_none_at_start:
 def summarize_by_tile(products: DataFrame, fail_col: str) -> DataFrame:
     """Products, failures and the failed ids of each tile, ids by acquisition."""
     bad = F.coalesce(F.col(fail_col), F.lit(False))
-    failed = F.array_sort(F.collect_list(F.when(bad, F.struct("acq_time", "opera_id"))))
+    failed = F.sort_array(F.collect_list(F.when(bad, F.struct("acq_time", "opera_id"))))
     out = products.where(F.col("mgrs_tile_id").isNotNull()).groupBy("mgrs_tile_id").agg(F.count("*").alias("n_products"), F.count_if(bad).alias("n_failures"), failed.alias("_failed"))
     return out.select("mgrs_tile_id", "n_products", "n_failures", (F.col("n_failures") == 0).alias("ok"), F.array_join(F.transform("_failed", lambda x: x["opera_id"]), ";").alias("bad_opera_ids"))
 

@@ -28,8 +28,8 @@ def deduplicate_products(products: DataFrame) -> DataFrame:
 
 
 def deduplicate_inputs(inputs: DataFrame) -> DataFrame:
-    """Distinct ids, then the latest version of each acquisition."""
-    return latest_versions(distinct_ids(inputs), "processing_dt").drop("n_versions")
+    """The latest version of each acquisition, once; rows of an id are copies and share their key."""
+    return latest_versions(inputs, "processing_dt").drop("n_versions")
 
 
 def merge_ranges(tables: list[DataFrame]) -> DataFrame:

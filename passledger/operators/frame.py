@@ -1,4 +1,8 @@
-"""The input frame: dual-polarized inputs with their pass, once for each tile they feed."""
+"""The input frame: dual-polarized inputs with their pass, once for each tile they feed.
+
+Joins with tables of tiles and bursts have no hint: Spark broadcasts these where their files,
+or their size when they are made, say that they are small, and shuffles them otherwise.
+"""
 
 from __future__ import annotations
 
@@ -8,24 +12,10 @@ from pyspark.sql import functions as F
 from passledger.functions import times
 from passledger.schemas import DUAL_POLARIZATIONS
 
-#: Rows of a dimension table, at most, that are sent to every executor.
-BROADCAST_ROWS = 1_000_000
-
-
-def bounded(dim: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`dim` with a broadcast hint if it has at most `rows` rows; else the join shuffles it."""
-    return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
-
-
 def dual_polarized(df: DataFrame) -> DataFrame:
     return df.where(F.col("polarizations").isin(*DUAL_POLARIZATIONS))
 
 
-def count_single_polarized(df: DataFrame) -> int:
-    """Inputs that the frame leaves out, unknown polarizations among them."""
-    return df.where(~F.coalesce(F.col("polarizations").isin(*DUAL_POLARIZATIONS), F.lit(False))).count()
-
-
 def day_pass(acq: Column) -> Column:
     """Whole days since 1970: one pass a day and track."""
     return times.bins(acq, times.DAY)
@@ -42,15 +32,15 @@ def build_input_frame(inputs: DataFrame, lut: DataFrame, tiles: DataFrame | None
         pairs = pairs.join(tiles.select("mgrs_tile_id").distinct(), "mgrs_tile_id", "left_semi")
     df = df.withColumn("pass_id", day_pass(F.col("acq_dt")) if pass_id is None else pass_id)
     df = df.withColumns({c: F.coalesce(c, F.lit("")) for c in ("url_copol", "url_crosspol") if c in df.columns})
-    df = df.join(bounded(pairs), "jpl_burst_id")
+    df = df.join(pairs, "jpl_burst_id")
     return df.withColumn("acq_group_id_within_mgrs_tile", F.col("track_number")).withColumn("track_token", F.col("track_number").cast("string"))
 
 
 def with_tile_geometry(products: DataFrame, tiles: DataFrame) -> DataFrame:
     """All products, with their tile's geometry where it is known."""
-    return products.drop("geometry").join(bounded(tiles.select("mgrs_tile_id", "geometry")), "mgrs_tile_id", "left")
+    return products.drop("geometry").join(tiles.select("mgrs_tile_id", "geometry"), "mgrs_tile_id", "left")
 
 
 def with_burst_geometry(inputs: DataFrame, bursts: DataFrame) -> DataFrame:
     """All inputs, with their burst's geometry where it is known."""
-    return inputs.drop("geometry").join(bounded(bursts.select("jpl_burst_id", "geometry")), "jpl_burst_id", "left")
+    return inputs.drop("geometry").join(bursts.select("jpl_burst_id", "geometry"), "jpl_burst_id", "left")

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from passledger.operators import aoi, dedup, inputs_audit
 from passledger.operators.enumerate import build_expected_products
@@ -100,8 +99,3 @@ def run_checks(run: Run, out_dir: str, start: str, stop: str, names: list[str] |
             sampled = f" - sample of {run.sample_tiles} tiles" if run.sample_tiles else ""
             report.write_report(made, f"{out_dir}/report_{when}.html", title, f"{start} to {stop}{sampled}")
     return made
-
-
-def unaudited(run: Run) -> int:
-    """Products without tags: no address, or not fetched; no audit of tags covers them."""
-    return run.dedup.join(run.tags.select("opera_id"), "opera_id", "left_anti").where(F.col("opera_id").isNotNull()).count()

@@ -105,7 +105,7 @@ def test_run_all(spark, tmp_path, sf_dir):
     tables.save(fx.products(spark, sf_dir).withColumns({"metric_url": F.lit(None).cast("string"), "alert_acq_url": F.lit(None).cast("string")}), d, tables.PRODUCTS)
     tables.save(granules_.drop("n").withColumns({"url_copol": F.lit(""), "url_crosspol": F.lit("")}), d, tables.INPUTS)
     tables.save(fx.tags(spark, sf_dir), d, tables.TAGS)
-    tables.save(fx.lut(granules_), d, "lut.parquet")
+    tables.save(fx.lut(spark, sf_dir), d, "lut.parquet")
     tables.save(fx.products(spark, sf_dir).select("mgrs_tile_id", "geometry").distinct(), d, "tiles.parquet")
     tables.save(granules_.select("jpl_burst_id", "geometry").distinct(), d, "bursts.parquet")
     out = tmp_path / "out"
