@@ -60,6 +60,12 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{source}`"].alias(name) for name, source in columns.items()])
 
 
+def others(df: DataFrame, *results: str) -> list[str]:
+    """Columns of `df` but those named like a result, in any case of letters: these give way to it."""
+    taken = {n.lower() for n in results}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BLOCK_CHARS) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that each slice holds about `limit` bytes of text, or one longer row."""
     for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passledger.llm.common import pick, text_blocks, utf8_values
+from passledger.llm.common import others, pick, text_blocks, utf8_values
 
 #: Every ASCII byte outside 0-9, A-Z, a-z separates words; A-Z become a-z; bytes from 0x80 are word bytes.
 _FOLD = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
@@ -233,11 +233,9 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, text_col: str
     Null and empty texts have no words and no hits.  Items with null or empty text match
     nothing; items with a null id mark words but are in no list.  Repeated items or rows
     count once each.  An empty `benchmark` leaves every document clean.  Other columns of
-    `documents` pass through unchanged.
+    `documents` pass through unchanged; those with the names of results give way to them.
     """
-    keep = documents.columns
-    if any(c in keep for c in ("_n_words", "_spans", "_items")):
-        raise ValueError("_n_words, _spans and _items are names that find_contamination adds")
+    keep = others(documents, "_n_words", "_spans", "_items")
     items = pick(benchmark, item_id=item_col, text=item_text_col).select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     rest = F.struct(*[documents[f"`{c}`"] for c in keep]).alias("rest")
     df = documents.select(rest, documents[f"`{text_col}`"].cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items"))

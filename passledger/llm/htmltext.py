@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passledger.llm.common import text_blocks
+from passledger.llm.common import others, text_blocks
 from passledger.llm.crf import Crf, slot, train
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -364,12 +364,13 @@ def extract_text(pages: DataFrame, crf: Crf, html_col: str = "html") -> DataFram
     """`pages` without `html_col`, with `_text` string and `_n_chars` long (code points).
 
     The whole page counts; null, empty and textless pages give an empty text.  Rows are
-    extracted one by one; an empty table gives an empty result.
+    extracted one by one; an empty table gives an empty result.  Input columns `_text` and
+    `_n_chars` give way to the result.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    keep = [c for c in pages.columns if c != html_col]
+    keep = [c for c in others(pages, "_text", "_n_chars") if c != html_col]
     rest = (F.struct(*[pages[f"`{c}`"] for c in keep]) if keep else F.struct(F.lit(0).alias("_"))).alias("rest")
     df = pages.select(rest, pages[f"`{html_col}`"].cast("string").alias("html"))
     schema = StructType([df.schema["rest"], *StructType.fromDDL("text string, n_chars long").fields])

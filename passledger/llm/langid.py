@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from passledger.llm.common import pick, text_blocks
+from passledger.llm.common import others, pick, text_blocks
 
 WINDOW, EMBEDDING, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 #: The sample that the network is fitted on: documents of a language, windows of a
@@ -197,11 +197,13 @@ def predict_language(documents: DataFrame, network: ByteNetwork, text_col: str =
     """`documents` with `_lang` string and `_score` double (0 to 1) for the whole text.
 
     Null, empty and letterless texts are `und` with score 0; so is everything if the
-    network had no labelled text.  Rows are scored one by one.
+    network had no labelled text.  Rows are scored one by one, whatever their length; of
+    languages that score alike the first by name is taken, and an empty table gives an empty
+    result.  Input columns `_lang` and `_score` give way to the result.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    rest = F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("rest")
+    rest = F.struct(*[documents[f"`{c}`"] for c in others(documents, "_lang", "_score")]).alias("rest")
     df = documents.select(rest, documents[f"`{text_col}`"].cast("string").alias("text"), F.lit("").alias("lang"), F.lit(0.0).alias("score"))
     shared = df.sparkSession.sparkContext.broadcast(network)
     out = df.mapInArrow(_predictor(shared, to_arrow_schema(df.schema)), df.schema)

@@ -16,8 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from passledger.llm.common import word_count
+from passledger.llm.common import others, word_count
 
+#: Columns that `mix` adds.
+ADDED = ("_size", "_source_size", "_target", "_copies")
 #: Rows in a block, about, of a source that holds every row with one size.
 BLOCK_ROWS = 512
 
@@ -50,10 +52,11 @@ def mix(documents: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     `_size` counts runs without ASCII white space in the text, or is taken from `size_col`;
     null counts 0, null sources are one source.  A source without words has target 0 and no
     copies.  Repeated rows of an id are rows of their own; equal rows are interchangeable.
-    Reruns with the same seed agree.  An empty table gives an empty result.
+    Reruns with the same seed agree.  An empty table gives an empty result.  Input columns with
+    the names of results give way to them.
     """
     size = word_count(documents[f"`{text_col}`"]) if size_col is None else F.coalesce(documents[f"`{size_col}`"].cast("long"), F.lit(0).cast("long"))
-    rest = F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("rest")
+    rest = F.struct(*[documents[f"`{c}`"] for c in others(documents, *ADDED)]).alias("rest")
     rows = documents.select(rest, documents[f"`{id_col}`"].cast("string").alias("id"), documents[f"`{source_col}`"].alias("source"), size.alias("size"))
     hottest = rows.groupBy("source").count().agg(F.max("count")).first()[0] or 0
     parts = 1
@@ -89,6 +92,6 @@ def _few(targets: DataFrame) -> bool:
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """The mix itself: each row of `mix` as often as it is taken, without the added columns."""
-    names = [c for c in mixed.columns if c not in ("_size", "_source_size", "_target", "_copies")]
+    rest = F.struct(*[mixed[f"`{c}`"] for c in others(mixed, *ADDED)]).alias("rest")
     taken = mixed.where(F.col("_copies") > 0)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*[f"`{c}`" for c in names])
+    return taken.select(rest, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("rest.*")

@@ -94,7 +94,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(toxicity.training_sample(documents, table(spark, sf_dir, "labels")))
     scored = toxicity.score_toxicity(documents, model)
-    return scored.select("doc_id", fold_of("doc_id", 5, 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+    spans = F.array_join(F.transform("_spans", lambda s: F.concat(s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
+    return scored.select("doc_id", fold_of("doc_id", 5, 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"), spans.alias("spans"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

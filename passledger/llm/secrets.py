@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passledger.llm.common import text_blocks
+from passledger.llm.common import others, text_blocks
 from passledger.llm.crf import Crf, slot, train
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -295,11 +295,13 @@ def find_secrets(documents: DataFrame, crf: Crf, text_col: str = "text") -> Data
     """`documents` with `_spans`: array of (kind, start, end) by start, then kind.
 
     Kinds are assign, access and hex (fixed patterns) and crf (the field, where no pattern
-    matches).  Offsets are code points, ends exclusive.  Null and empty texts have none.
+    matches).  Offsets are code points, ends exclusive.  Null and empty texts have none;
+    an empty table gives an empty result, and repeated rows give equal ones.  An input column
+    `_spans` gives way to the result.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    rest = F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("rest")
+    rest = F.struct(*[documents[f"`{c}`"] for c in others(documents, "_spans")]).alias("rest")
     spans = F.array().cast("array<struct<kind:string,start:int,end:int>>").alias("spans")
     df = documents.select(rest, documents[f"`{text_col}`"].cast("string").alias("text"), spans)
     shared = df.sparkSession.sparkContext.broadcast(crf)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passledger.llm.common import text_blocks
+from passledger.llm.common import others, text_blocks
 
 RULES = ("first", "last", "largest")
 
@@ -121,7 +121,8 @@ def count_sections(documents: DataFrame, ranks_path: str, pattern: str, text_col
     one text.  Adds section int (from 0), start, end (characters), n_tokens, n_crossing
     (of these, how many cross a boundary) and doc_tokens, all long; n_tokens of a row's
     sections add up to doc_tokens.  Null and empty texts have one section without tokens;
-    an empty table gives an empty result.  Other columns pass through, but for texts.
+    an empty table gives an empty result.  Other columns pass through, but for texts and
+    for columns with the names of results, which give way to these.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -131,7 +132,7 @@ def count_sections(documents: DataFrame, ranks_path: str, pattern: str, text_col
     with open(ranks_path, "rb") as f:
         shared = documents.sparkSession.sparkContext.broadcast((f.read(), pattern))
     added = StructType.fromDDL("section int, start long, end long, n_tokens long, n_crossing long, doc_tokens long")
-    keep = [c for c in documents.columns if c not in {text_col, *fields, *added.names}]
+    keep = [c for c in others(documents, *added.names) if c not in {text_col, *fields}]
     rest = (F.struct(*[documents[f"`{c}`"] for c in keep]) if keep else F.struct(F.lit(0).alias("_"))).alias("rest")
     if fields:
         columns = [F.coalesce(documents[f"`{c}`"].cast("string"), F.lit("")) for c in fields]

@@ -13,7 +13,7 @@ from passledger.llm import decontam, mixing, neardup, topk
 from tests.oracle import same
 
 R = random.Random(4)
-CLASH = {"rest": "1", "size": "2", "part": "3", "k": "4", "node": "5", "rep": "6", "spans": "7", "score": "8", "source_size": "9"}
+CLASH = {"rest": "1", "size": "2", "part": "3", "k": "4", "node": "5", "rep": "6", "spans": "7", "score": "8", "source_size": "9", "_copy": "10", "_label": "11"}
 
 
 def docs(spark, rows, clash=True):

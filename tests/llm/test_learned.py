@@ -225,7 +225,7 @@ def toxic_rows(sf_dir):
 
 @pytest.fixture(scope="module")
 def model(toxic_rows):
-    return toxicity.fit([(t, y) for i, t, y in toxic_rows if fold(i, 5)])
+    return toxicity.fit(toxicity.Sample((t, y) for i, t, y in toxic_rows if fold(i, 5)))
 
 
 def test_toxicity_held_out(toxic_rows, model):
@@ -247,13 +247,23 @@ def test_toxicity_rows(spark, model):
     rows = [(1, "a worthless idiot clown moron scum"), (2, None), (3, ""), (4, "123"), (5, "the thing " * 40_000), (1, "a worthless idiot clown moron scum")]
     got = {r.doc_id: r._score for r in toxicity.score_toxicity(docs(spark, rows), model).collect()}
     assert got[1] >= 0.5 > got[5] and got[2] == got[3] == got[4] < 0.5
-    one_sided = toxicity.fit([("a b", 0), ("c", 0)])
-    assert one_sided.scores([["a"]])[0] < 0.5 and 0 < toxicity.fit([]).scores([[]])[0] < 1
+    one_sided = toxicity.fit(toxicity.Sample([("a b", 0), ("c", 0)]))
+    assert one_sided.scores([["a"]])[0] < 0.5 and 0 < toxicity.fit(toxicity.Sample()).scores([[]])[0] < 1
+
+
+def test_toxicity_spans_and_clashing_names(spark, model):
+    rows = [(1, "The thing is a worthless idiot of a clown there", 7, "x"), (2, None, 8, "y"), (3, "the thing", 9, "z")]
+    given = spark.createDataFrame(rows, "doc_id long, text string, _score int, _Spans string")
+    got = {r.doc_id: r for r in toxicity.score_toxicity(given, model).collect()}
+    assert [(s.start, s.end) for s in got[1]._spans] == model.spans(rows[0][1]) != []
+    assert got[2]._spans == got[3]._spans == [] and isinstance(got[3]._score, float)
+    assert toxicity.score_toxicity(given.limit(0), model).count() == 0
 
 
 def test_toxicity_sample(spark):
     d = docs(spark, [(i, f"text {i}") for i in range(30)] + [(30, None)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(31)] + [(1, 1), (2, None), (None, 1)], "doc_id long, toxic int")
     got = toxicity.training_sample(d, labels)
-    assert {t for t, _ in got} == {f"text {i}" for i in range(30) if fold(i, 5)}
-    assert toxicity.training_sample(d, labels.limit(0)) == []
+    assert {" ".join(got.words[w] for w in words) for words in got.documents} == {"text"} and len(got) == sum(fold(i, 5) != 0 for i in range(30))
+    assert got.labels.count(1) == sum(fold(i, 5) != 0 for i in range(1, 30, 2))
+    assert len(toxicity.training_sample(d, labels.limit(0))) == 0

@@ -1,6 +1,7 @@
 """Stages of the corpus pipeline against brute force, and the whole of it on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from passledger.llm import mixing
 from tests.llm.test_exact import R, brute_components, brute_hits
@@ -43,6 +44,23 @@ def test_one_of_each_group_stays(spark, folder):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want) and kept.columns == docs.columns
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, folder):
+    a, b, c = (" ".join(R.choices([f"w{i}" for i in range(400)], k=40)) for _ in range(3))
+    rows = [(3, a), (7, a), (7, b), (7, b), (9, b + " tail"), (None, c), (None, c), (11, None), (11, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect()), key=str)
+    assert kept == sorted([(3, a), (9, b + " tail"), (None, c), (None, c), (11, None), (11, "")], key=str)
+
+
+def test_columns_named_like_results_pass_through(spark, folder):
+    names = ["_Score", "_spans", "_size", "_source_size", "_target", "_copies", "_copy", "_n_words", "_items", "near key", "rest", "row", "key", "near many", "count"]
+    docs = read(spark, folder).withColumns({n: F.lit(n) for n in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns and [out.first()[n] for n in names] == names
+    assert "n_tokens" in corpus_pipeline.STAGES[-1][1](spark, docs, folder).columns
+
+
 def test_contaminated_documents_go(spark, folder):
     docs = read(spark, folder)
     item = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
