@@ -233,14 +233,18 @@ class ToxicityModel:
     def score_of(self, summary: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(summary @ self.scale, -40, 40)))
 
-    def spans(self, text: str, least: float = 0.5) -> list[tuple[int, int]]:
-        """Offsets (start, end) of runs of words that are toxic with probability `least` or more."""
-        found = list(_WORD.finditer(text))
-        p, _ = self.word_marginals([[m[0].lower() for m in found]])
-        out: list[tuple[int, int]] = []
-        for i, m in enumerate(found):
-            if p[i] >= least:
-                out.append((out.pop()[0], m.end()) if out and i and p[i - 1] >= least else m.span())
+    def spans(self, texts: list[str], least: float = 0.5) -> list[list[tuple[int, int]]]:
+        """By text, offsets (start, end) of runs of words that are toxic with probability `least` or more."""
+        found = [[m.span() for m in _WORD.finditer(t)] for t in texts]
+        p, lengths = self.word_marginals([[t[a:b].lower() for a, b in spans] for t, spans in zip(texts, found)])
+        at, out = 0, []
+        for spans, n in zip(found, lengths.tolist()):
+            runs: list[tuple[int, int]] = []
+            marks = np.nonzero(p[at : at + n] >= least)[0].tolist()
+            for i, before in zip(marks, [None, *marks]):
+                runs.append((runs.pop()[0] if before == i - 1 else spans[i][0], spans[i][1]))
+            out.append(runs)
+            at += n
         return out
 
 
@@ -335,7 +339,9 @@ def _scorer(shared, schema: pa.Schema):
             texts = batch.column("text").to_pylist()
             summary = model.summary([words_of(t) for t in texts])
             # Only texts with a word that offends have spans to look for.
-            spans = [[{"start": a, "end": b} for a, b in model.spans(t)] if surest >= 0.5 else [] for t, surest in zip(texts, summary[:, 1])]
+            offends = np.nonzero(summary[:, 1] >= 0.5)[0].tolist()
+            found = dict(zip(offends, model.spans([texts[i] for i in offends])))
+            spans = [[{"start": a, "end": b} for a, b in found.get(i, ())] for i in range(len(texts))]
             columns = {n: batch.column(n) for n in schema.names} | {"score": pa.array(model.score_of(summary)), "spans": pa.array(spans, schema.field("spans").type)}
             yield pa.RecordBatch.from_arrays([columns[n].cast(schema.field(n).type) for n in schema.names], schema=schema)
 

@@ -239,8 +239,13 @@ def test_toxicity_held_out(toxic_rows, model):
 
 def test_toxic_spans(model):
     text = "The thing is a worthless idiot of a clown there"
-    assert {text[a:b] for a, b in model.spans(text)} >= {"worthless idiot"} or {"idiot", "worthless"} & {text[a:b] for a, b in model.spans(text)}
-    assert model.spans("") == []
+    several = model.spans(["", text, "the thing", text])
+    assert several[0] == several[2] == [] and several[1] == several[3]
+    found = {text[a:b] for a, b in several[1]}
+    assert found >= {"worthless idiot"} or {"idiot", "worthless"} & found
+    p, _ = model.word_marginals([toxicity.words_of(text)])
+    inside = [any(a <= m.start() < b for a, b in several[1]) for m in toxicity._WORD.finditer(text)]
+    assert inside == (p >= 0.5).tolist()
 
 
 def test_toxicity_rows(spark, model):
@@ -255,7 +260,7 @@ def test_toxicity_spans_and_clashing_names(spark, model):
     rows = [(1, "The thing is a worthless idiot of a clown there", 7, "x"), (2, None, 8, "y"), (3, "the thing", 9, "z")]
     given = spark.createDataFrame(rows, "doc_id long, text string, _score int, _Spans string")
     got = {r.doc_id: r for r in toxicity.score_toxicity(given, model).collect()}
-    assert [(s.start, s.end) for s in got[1]._spans] == model.spans(rows[0][1]) != []
+    assert [(s.start, s.end) for s in got[1]._spans] == model.spans([rows[0][1]])[0] != []
     assert got[2]._spans == got[3]._spans == [] and isinstance(got[3]._score, float)
     assert toxicity.score_toxicity(given.limit(0), model).count() == 0
 
