@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from passledger.plans.sections import Section, Tables
 
-COLORS = ("#1f6fb2", "#d9642b", "#2a9d6f", "#c98a00", "#c75b8a", "#4d7c0f", "#5a4fb0", "#c94444")
+def color(n: int, of: int) -> str:
+    """One of `of` hues at even distances."""
+    return f"hsl({360 * n // max(1, of)} 60% 45%)"
 
 
 def stamp() -> str:
@@ -42,7 +44,7 @@ def write_csvs(tables: Tables, out_dir: str, when: str) -> list[str]:
 
 
 def page(sections: list[Section], title: str, subtitle: str = "") -> str:
-    payload = {"title": title, "subtitle": subtitle, "sections": [asdict(s) | {"color": COLORS[i % len(COLORS)]} for i, s in enumerate(sections)]}
+    payload = {"title": title, "subtitle": subtitle, "sections": [asdict(s) | {"color": color(i, len(sections))} for i, s in enumerate(sections)]}
     data = json.dumps(payload, default=str).replace("</", "<\\/")
     return _PAGE.replace("@TITLE@", html.escape(title)).replace("@DATA@", data)
 
@@ -72,8 +74,8 @@ const report=JSON.parse(document.getElementById("data").textContent),SHOWN=1000,
 const make=(tag,text,parent)=>{const e=document.createElement(tag);if(text!==undefined)e.textContent=text;if(parent)parent.append(e);return e};
 document.querySelector("h1").textContent=report.title;document.getElementById("sub").textContent=report.subtitle;
 for(const s of report.sections){const c=make("div",undefined,document.querySelector(".cards"));c.className="card "+(s.n_failures?"bad":"ok");make("span",s.title,c);make("b",String(s.n_failures),c);make("span",`flagged of ${s.n_checked} checked`,c)}
-const blank=v=>v===null||v===undefined||v==="";
-const order=(a,b)=>blank(a)?(blank(b)?0:1):blank(b)?-1:(!isNaN(a)&&!isNaN(b))?a-b:String(a).localeCompare(String(b));
+const blank=v=>(v??"")==="";
+const words=new Intl.Collator(undefined,{sensitivity:"base"});
 const rings=w=>[...w.matchAll(/\(([^()]*)\)/g)].map(m=>m[1].split(",").map(p=>p.trim().split(/\s+/).map(Number)));
 const svg=document.querySelector("svg");let box=[180,90,-180,-90];
 for(const [i,s] of report.sections.entries()){const g=document.createElementNS(NS,"g");svg.append(g);
@@ -83,16 +85,36 @@ for(const [i,s] of report.sections.entries()){const g=document.createElementNS(N
   p.onclick=()=>{const t=document.getElementById("tip");t.replaceChildren();make("h3",`${s.title}: ${f.mgrs_tile_id} (${f.n_failures})`,t);for(const row of f.rows)make("p",Object.entries(row).filter(([k,v])=>!blank(v)&&k!=="mgrs_tile_id"&&k!=="_nth"&&k!=="mgrs_tile_wkt").map(([k,v])=>`${k}: ${v}`).join(" · "),t);if(f.n_failures>f.rows.length)make("p",`… ${f.n_failures-f.rows.length} more`,t)};
   g.append(p)}}}
 if(box[0]<=box[2])svg.setAttribute("viewBox",`${box[0]-1} ${-box[3]-1} ${box[2]-box[0]+2} ${box[3]-box[1]+2}`);else svg.remove();
-const quoted=v=>{const t=blank(v)?"":String(v);return /[",\n]/.test(t)?'"'+t.replaceAll('"','""')+'"':t};
-for(const s of report.sections){const root=make("section",undefined,document.querySelector("main"));make("h2",s.title,root);make("p",s.description,root);
- if(s.truncated)make("p",`Only the first ${s.records.length} of ${s.n_failures} rows are here.`,root);
- const find=make("input",undefined,root);find.placeholder="Filter rows";const save=make("button","CSV of these rows",root),count=make("span",undefined,root),wrap=make("div",undefined,root);wrap.className="scroll";
- const table=make("table",undefined,wrap),head=make("tr",undefined,make("thead",undefined,table)),body=make("tbody",undefined,table);let by=null,down=false;
- const rows=()=>{const f=find.value.toLowerCase();let r=s.records.filter(x=>!f||s.columns.some(c=>String(x[c]??"").toLowerCase().includes(f)));if(by)r=r.sort((a,b)=>{const k=order(a[by],b[by]);return blank(a[by])||blank(b[by])?k:down?-k:k});return r};
- const draw=()=>{const r=rows();body.replaceChildren();for(const x of r.slice(0,SHOWN)){const tr=make("tr",undefined,body);for(const c of s.columns){const v=x[c],td=make("td",undefined,tr);if(typeof v==="string"&&/^https?:\/\//.test(v)){const a=make("a","link",td);a.href=v}else td.textContent=blank(v)?"":String(v)}}count.textContent=` ${Math.min(SHOWN,r.length)} of ${r.length} rows`};
- for(const c of s.columns){make("th",c,head).onclick=()=>{down=by===c?!down:false;by=c;draw()}}
- find.oninput=draw;save.onclick=()=>{const t=[s.columns,...rows().map(x=>s.columns.map(c=>x[c]))].map(r=>r.map(quoted).join(",")).join("\n"),a=make("a");a.href=URL.createObjectURL(new Blob([t],{type:"text/csv"}));a.download=s.key+".csv";a.click()};
- if(s.summary){make("h3",s.summary.title,root);const t=make("table",undefined,root),h=make("tr",undefined,t);t.className="summary";for(const c of s.summary.columns)make("th",c,h);for(const x of s.summary.records){const tr=make("tr",undefined,t);for(const c of s.summary.columns)make("td",String(x[c]??""),tr);tr.onclick=()=>{find.value=String(x[s.summary.columns[0]]??"");draw()}}}
- draw()}
+// A grid holds each record once with its cells as text and a text to search; it sorts that list in place and shows what matches.
+class Grid{
+ constructor(section,parent){
+  this.names=section.columns;this.key=section.key;
+  this.lines=section.records.map(r=>{const cells=this.names.map(n=>blank(r[n])?"":String(r[n]));return{cells,text:cells.join("\u0001").toLowerCase()}});
+  const bar=make("p",undefined,parent);this.box=make("input",undefined,bar);this.box.type="search";this.box.placeholder="Find in any column";this.box.addEventListener("input",()=>this.show());
+  this.link=make("a","Download as CSV",bar);this.link.download=`${this.key}.csv`;this.link.href="#";this.link.addEventListener("click",()=>{this.link.href="data:text/csv;charset=utf-8,"+encodeURIComponent(this.csv())});
+  this.note=make("small",undefined,bar);
+  const pane=make("div",undefined,parent);pane.className="scroll";const table=make("table",undefined,pane),titles=table.createTHead().insertRow();this.body=table.createTBody();
+  this.names.forEach((n,i)=>{const cell=make("th",n,titles);cell.addEventListener("click",()=>{const up=cell.getAttribute("aria-sort")!=="ascending";for(const other of titles.cells)other.removeAttribute("aria-sort");cell.setAttribute("aria-sort",up?"ascending":"descending");this.sort(i,up);this.show()})});
+  this.show()}
+ matching(){const wanted=this.box.value.toLowerCase();return wanted?this.lines.filter(l=>l.text.includes(wanted)):this.lines}
+ sort(i,up){
+  const full=this.lines.filter(l=>l.cells[i]!==""),empty=this.lines.filter(l=>l.cells[i]==="");
+  const numbers=full.every(l=>Number.isFinite(Number(l.cells[i])));
+  full.sort(numbers?(x,y)=>Number(x.cells[i])-Number(y.cells[i]):(x,y)=>words.compare(x.cells[i],y.cells[i]));
+  this.lines=(up?full:full.reverse()).concat(empty)}
+ csv(){return[this.names,...this.matching().map(l=>l.cells)].map(cells=>cells.map(t=>`"${t.split('"').join('""')}"`).join(",")).join("\r\n")}
+ show(){
+  const found=this.matching(),part=document.createDocumentFragment();
+  for(const{cells}of found.slice(0,SHOWN)){const tr=make("tr",undefined,part);for(const t of cells){const td=make("td",undefined,tr);if(/^https?:/.test(t))make("a","open",td).href=t;else td.textContent=t}}
+  this.body.replaceChildren(part);this.note.textContent=found.length>SHOWN?` the first ${SHOWN} of ${found.length} matches`:` ${found.length} matches`}
+ search(text){this.box.value=text;this.show()}
+}
+for(const s of report.sections){
+ const part=make("section",undefined,document.querySelector("main"));make("h2",s.title,part);make("p",s.description,part);
+ if(s.truncated)make("p",`This page holds ${s.records.length} of ${s.n_failures} rows; the CSV files hold all.`,part);
+ const grid=new Grid(s,part);
+ if(!s.summary)continue;
+ make("h3",s.summary.title,part);const counts=make("table",undefined,part);counts.className="summary";const titles=counts.insertRow();for(const n of s.summary.columns)make("th",n,titles);
+ for(const r of s.summary.records){const values=s.summary.columns.map(n=>String(r[n]??"")),tr=counts.insertRow();for(const v of values)make("td",v,tr);tr.addEventListener("click",()=>grid.search(values[0]))}}
 </script></body></html>
 """
