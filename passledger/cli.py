@@ -53,6 +53,8 @@ def parser() -> argparse.ArgumentParser:
             searching(p)
             reading(p)
             p.add_argument("--refresh", action="store_true")
+        if name in ("check-inputs", "run-all"):
+            p.add_argument("--retry-errors", action="store_true")
         else:
             p.add_argument("--start", default="1900-01-01", required=name == "check-coverage")
             p.add_argument("--stop", default="2100-01-01", required=name == "check-coverage")
@@ -69,6 +71,8 @@ def _function(path: str):
 
 
 def download(spark: SparkSession, a: argparse.Namespace) -> None:
+    # What was audited before was audited on other tables.
+    tables.forget(spark, f"{a.data_dir}/{tables.RESULTS}")
     tiles, bursts, lut = _dims(spark, a)
     product_box = input_box = None
     wanted = None
@@ -106,7 +110,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     tiles, _, lut = _dims(spark, a)
     run = Run(spark, a.data_dir, tiles, lut, a.sample_tiles, a.seed)
     names = None if a.command == "run-all" else [CHECKS[a.command]]
-    run_checks(run, a.out_dir, a.start, a.stop, names, expect_none_at_start=a.expect_none_at_start, sample_inputs=a.sample_inputs)
+    run_checks(run, a.out_dir, a.start, a.stop, names, expect_none_at_start=a.expect_none_at_start, sample_inputs=a.sample_inputs, retry_errors=getattr(a, "retry_errors", False))
 
 
 if __name__ == "__main__":

@@ -233,6 +233,13 @@ def issue_summary(bad: DataFrame) -> DataFrame:
     return bad.groupBy("issue_type").agg(F.count("*").alias("n_rows"))
 
 
+def settled(results: DataFrame) -> DataFrame:
+    """Results without the errors of products that a later try could audit."""
+    failed = F.coalesce(F.col("issue_type").isin(UNREAD, ENUMERATION), F.lit(False))
+    audited = results.where(~failed).select("opera_id").distinct()
+    return results.where(~failed).unionByName(results.where(failed).join(audited, "opera_id", "left_anti").select(*results.columns)).distinct()
+
+
 def resume(tags: DataFrame, done: DataFrame, retry_errors: bool = False) -> DataFrame:
     """Tags of products that earlier results lack, or hold only errors if these are to be tried again."""
     kept = done.where(~F.col("issue_type").isin(UNREAD, ENUMERATION)) if retry_errors else done

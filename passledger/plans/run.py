@@ -58,8 +58,9 @@ class Run:
     def audited(self, sample: int = 0, resume: bool = True, retry_errors: bool = False) -> DataFrame:
         """Results of the inputs audit: those kept from before, and those of products that lack one.
 
-        New results are appended, tile by tile's worth of work in one plan; a run that stops
-        loses only what it had not written.
+        New results are appended once all of them are made, so that a run that stops keeps those
+        of earlier runs only.  With `retry_errors`, products whose only results are errors are
+        tried again, and errors of those that then could be audited no longer count.
         """
         tags = aoi.sample_rows(self.tags, sample, seed=self.seed) if sample else self.tags
         path = f"{self.data_dir}/{tables.RESULTS}"
@@ -69,16 +70,16 @@ class Run:
         if resume:
             new.write.mode("append").option("compression", "zstd").parquet(path)
             new = self.spark.read.parquet(path)
-        return new.join(tags.select("opera_id").distinct(), "opera_id", "left_semi").distinct()
+        return inputs_audit.settled(new.join(tags.select("opera_id").distinct(), "opera_id", "left_semi"))
 
 
-def checks(run: Run, start: str, stop: str, expect_none_at_start: bool = False, sample_inputs: int = 0) -> dict[str, Callable[[], tuple[list, dict]]]:
+def checks(run: Run, start: str, stop: str, expect_none_at_start: bool = False, sample_inputs: int = 0, retry_errors: bool = False) -> dict[str, Callable[[], tuple[list, dict]]]:
     """Each check by name, in order."""
     return {
         "duplicates": lambda: sections.duplicates_section(run.products, run.tiles),
         "ordering": lambda: sections.ordering_section(run.dedup, run.tiles),
         "confirmation": lambda: sections.confirmation_section(run.dedup, run.tags, run.tiles, expect_none_at_start),
-        "inputs": lambda: sections.inputs_section(run.audited(sample_inputs), run.tiles),
+        "inputs": lambda: sections.inputs_section(run.audited(sample_inputs, retry_errors=retry_errors), run.tiles),
         "coverage": lambda: sections.coverage_section(run.dedup, run.frame, start, stop, run.tiles),
     }
 

@@ -58,13 +58,18 @@ def target_tiles(spark: SparkSession, data_dir: str) -> DataFrame | None:
     return words.where("mgrs_tile_id <> ''").distinct()
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes a table, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def save_target_tiles(tiles: DataFrame | None, spark: SparkSession, data_dir: str) -> None:
     """Keeps the list of tiles for later commands; None forgets it."""
     if tiles is not None:
         tiles.select("mgrs_tile_id").orderBy("mgrs_tile_id").write.mode("overwrite").text(f"{data_dir}/{TILES}")
-    elif exists(spark, f"{data_dir}/{TILES}"):
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{data_dir}/{TILES}")
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    else:
+        forget(spark, f"{data_dir}/{TILES}")
 
 
 def save(df: DataFrame, data_dir: str, name: str) -> None:

@@ -111,3 +111,9 @@ def test_online(spark):
     failed = own.limit(1).withColumn("product", F.lit("Q")).withColumn("error", F.lit("Timeout: y"))
     got = {r.opera_id: (r.inputs_correct, r.issue_type) for r in ia.online_comparison(tags, own.unionByName(failed)).collect()}
     assert got == {"P": (True, ""), "Q": (None, ia.ENUMERATION), "R": (None, ia.UNREAD)}
+
+
+def test_errors_of_products_audited_later_do_not_count(spark):
+    rows = [("P1", "T", None, ia.UNREAD, "x"), ("P1", "T", True, "", ""), ("P2", "T", None, ia.ENUMERATION, "y"), ("P2", "T", None, ia.ENUMERATION, "y"), ("P3", "T", False, ia.BURSTS, "z")]
+    got = ia.settled(spark.createDataFrame(rows, schemas.RESULTS))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[1], rows[2], rows[4]], key=str)
