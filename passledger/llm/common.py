@@ -16,12 +16,14 @@ BLOCK_CHARS = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one is set only where the session names none."""
+    """The folder that driver and executors share; one is set only where a session on one machine names none."""
     own = spark.conf.get("spark.checkpoint.dir", None)
     if own:
         return own.rstrip("/")
     have = spark.sparkContext.getCheckpointDir()
     if have is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="passledger-"))
         have = spark.sparkContext.getCheckpointDir()
     return have.rstrip("/")
