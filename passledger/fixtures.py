@@ -98,6 +98,12 @@ def lut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bursts(spark, sf_dir).select("jpl_burst_id", n.alias("n")).select("jpl_burst_id", _tile(F.col("n")).alias("mgrs_tile_id"))
 
 
+def burst_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlines of bursts; every seventh number is not known."""
+    lon, lat = _square(F.col("n"))
+    return _bursts(spark, sf_dir).where("n % 7 <> 0").select("jpl_burst_id", _wkt(lon, lat).alias("geometry"))
+
+
 def boxes(df: DataFrame, name: str) -> DataFrame:
     """(name, n) as the bounds of degree squares."""
     lon, lat = _square(F.col("n"))
@@ -109,6 +115,53 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes(n.withColumn("mgrs_tile_id", _tile(F.col("n"))), "mgrs_tile_id")
 
 
+def tile_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlines of tiles; every seventh is not known."""
+    n = table(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / 4).alias("n")).distinct().where("n % 7 <> 0")
+    lon, lat = _square(F.col("n"))
+    return n.select(_tile(F.col("n")).alias("mgrs_tile_id"), _wkt(lon, lat).alias("geometry"))
+
+
+def fine_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A triangle for each tile, with all decimals that a double has."""
+    n = table(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / 4).alias("n")).distinct()
+    x, y = F.col("n") % 360 - 180 + F.col("n") % 977 / 977, F.col("n") % 170 - 85 - F.col("n") % 983 / 983
+    corner = lambda a, b: F.concat(a.cast("string"), F.lit(" "), b.cast("string"))
+    shape = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", corner(x, y), corner(x + 0.5, y), corner(x, y + 0.25), corner(x, y)), F.lit("))"))
+    return n.select(_tile(F.col("n")).alias("mgrs_tile_id"), shape.alias("geometry"))
+
+
+def shapes_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each product's time and outline: a square, a square after a smaller one, or none."""
+    df = products(spark, sf_dir).withColumn("k", F.substring("sat", 2, 20).cast("long"))
+    two = F.concat(F.lit("MULTIPOLYGON (((0 0, 0.5 0, 0.5 0.5, 0 0)), "), F.substring(F.col("geometry"), 9, 10_000), F.lit(")"))
+    shape = F.when(F.col("k") % 7 == 0, two).when(F.col("k") % 9 != 0, F.col("geometry"))
+    return df.select("opera_id", "acq_time", shape.alias("geometry"))
+
+
+def _item(identifier: Column, urls: Column, attributes: Column) -> Column:
+    umm = F.struct(identifier.alias("GranuleUR"), F.transform(F.array_compact(urls), lambda u: F.struct(u.alias("URL"))).alias("RelatedUrls"), attributes.alias("AdditionalAttributes"))
+    return F.to_json(F.struct(umm.alias("umm"))).alias("item")
+
+
+def product_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products as a search gives them, some without a layer."""
+    i, k = F.col("opera_id"), F.substring("sat", 2, 20).cast("long")
+    file = lambda scheme, end: F.concat(F.lit(f"{scheme}://data.example.org/products/"), i, F.lit("/"), i, F.lit(end))
+    urls = [file("s3", "_GEN-DIST-STATUS.tif"), file("https", ".png"), F.when(k % 41 != 0, file("https", "_GEN-DIST-STATUS.tif"))]
+    urls += [F.when(k % 2 == 0, file("https", "_GEN-DIST-STATUS-ACQ.tif")), F.when(k % 3 != 0, file("https", "_GEN-METRIC.tif"))]
+    return products(spark, sf_dir).select(_item(i, F.array(*urls), F.lit(None).cast("array<struct<Name:string,Values:array<string>>>")))
+
+
+def input_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs as a search gives them; those of every fiftieth tile have no attributes."""
+    g = raw_inputs(spark, sf_dir).select("opera_id", "polarizations", "n").distinct()
+    channels = F.reverse(F.split("polarizations", "[+]"))
+    file = lambda c: F.concat(F.lit(BASE_URL), F.col("opera_id"), F.lit("/"), F.col("opera_id"), F.lit("_"), c, F.lit(".tif"))
+    named = F.array(F.struct(F.lit("OTHER").alias("Name"), F.array(F.lit("x")).alias("Values")), F.struct(F.lit("POLARIZATION").alias("Name"), channels.alias("Values")))
+    return g.select(_item(F.col("opera_id"), F.transform(channels, file), F.when(F.col("n") % 50 != 0, named)))
+
+
 def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes(_bursts(spark, sf_dir), "jpl_burst_id")
 

@@ -87,6 +87,17 @@ def _largest(wkt: pd.Series) -> pd.Series:
     return pd.Series([known[w] for w in wkt])
 
 
+def wkt_rounded(wkt: Column, decimals: int = 4) -> Column:
+    """The text with numbers of `decimals` decimals at most, without zeros at their end."""
+
+    def number(x: Column) -> Column:
+        text = F.format_string(f"%.{decimals}f", x.try_cast("double"))
+        text = F.regexp_replace(text, r"\.?0+$", "") if decimals else text
+        return F.when(x.try_cast("double").isNull(), x).otherwise(F.when(text.isin("-0", ""), F.lit("0")).otherwise(text))
+
+    return F.array_join(F.transform(F.split(wkt, r"(?<=[ (,])(?=[-+.0-9])|(?<=[.0-9])(?=[ ),])"), number), "")
+
+
 # The functions are made when they are used: workers, which have no session, import this module too.
 
 

@@ -58,6 +58,11 @@ def resolve_target_tiles(tiles: DataFrame, lut: DataFrame, bursts: DataFrame, bo
     return found, widened_box(found, lut, bursts, margin)
 
 
+def tile_totals(products: DataFrame) -> DataFrame:
+    """One row: products, and the tiles that they lie in."""
+    return products.agg(F.count("*").alias("n_products"), F.count_distinct("mgrs_tile_id").alias("n_tiles"))
+
+
 def lookback_ranges(spark: SparkSession, start: str, stop: str, days: tuple[int, ...] = LOOKBACK_DAYS, width: int = WINDOW_DAYS) -> DataFrame:
     """Date ranges of inputs needed for the products of [start, stop): baselines in order, then the range itself."""
     begin, end = datetime.fromisoformat(start), datetime.fromisoformat(stop)

@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 from passledger.functions import times
 from passledger.schemas import DUAL_POLARIZATIONS
 
+
 def dual_polarized(df: DataFrame) -> DataFrame:
     return df.where(F.col("polarizations").isin(*DUAL_POLARIZATIONS))
 
 
+def left_out(inputs: DataFrame) -> DataFrame:
+    """How many inputs of each polarization the frame leaves out, as they are not dual-polarized; null is one of them."""
+    single = ~F.coalesce(F.col("polarizations").isin(*DUAL_POLARIZATIONS), F.lit(False))
+    return inputs.where(single).groupBy("polarizations").agg(F.count("*").alias("n_inputs"))
+
+
 def day_pass(acq: Column) -> Column:
     """Whole days since 1970: one pass a day and track."""
     return times.bins(acq, times.DAY)

@@ -32,6 +32,11 @@ def parse_actual_inputs(tags: DataFrame) -> DataFrame:
     return df.withColumn("track_number", ids.track_number("jpl_burst_id")).withColumn("acq_dt", ids.acquisition_time("input_id"))
 
 
+def input_counts(actual: DataFrame) -> DataFrame:
+    """Recorded inputs of each product and category."""
+    return actual.groupBy("product", "mgrs_tile_id", "input_category").agg(F.count("*").alias("n_inputs"))
+
+
 def tracks_adjacent(tracks: Column) -> Column:
     """One track at most, or two neighbours; the last is next to the first."""
     apart = F.abs(F.get(tracks, F.lit(0)) - F.get(tracks, F.lit(1)))

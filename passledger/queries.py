@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from passledger import fixtures as fx
 from passledger.functions import ids, times
+from passledger.functions.geometry import wkt_rounded
 from passledger.operators import aoi, checks, coverage, dedup, enumerate, inputs_audit
+from passledger.operators.frame import build_input_frame, left_out, with_burst_geometry, with_tile_geometry
 from passledger.plans import sections
+from passledger.sources import granules
+from passledger.sources.tags import to_fetch
 
 AOI = (-150.0, -60.0, -120.5, -30.0)
 
@@ -137,6 +141,39 @@ def tile_features(spark, d):
     return features.select("mgrs_tile_id", "n_failures", F.array_join(F.transform("rows", lambda r: r["opera_id"]), ",").alias("shown"))
 
 
+def frame_of_tiles(spark, d):
+    frame = build_input_frame(fx.inputs(spark, d).drop("n"), fx.lut(spark, d), _sampled_tiles(spark, d))
+    return frame.select("opera_id", "mgrs_tile_id", "pass_id", "acq_group_id_within_mgrs_tile", "track_token")
+
+
+def _sampled_tiles(spark, d):
+    return aoi.sample_rows(fx.products(spark, d).select("mgrs_tile_id").distinct(), 5, "mgrs_tile_id")
+
+
+def tags_todo(spark, d):
+    """Tags of every third product are there, half of them as errors, which are tried again."""
+    p = fx.products(spark, d)
+    number = F.substring("sat", 2, 20).cast("long")
+    have = p.where(number % 3 == 0).select("opera_id", F.when(number % 2 == 0, "").otherwise("OSError: unreadable").alias("error"))
+    return to_fetch(p, have)
+
+
+def input_items(spark, d):
+    return granules.parse_inputs(fx.input_items(spark, d)).drop("opera_dedup_id")
+
+
+def search_links(spark, d):
+    rows = fx.shapes_at(spark, d)
+    return rows.select("opera_id", aoi.search_url(F.col("geometry"), F.col("acq_time"), "https://search.example.org/").alias("search_url"))
+
+
+def _section(spark, made):
+    """What a section says of its check, as one row; all of its rows are counted, `n_shown` of them are in the report."""
+    (s,), _ = made
+    row = (s.key, s.n_checked, s.n_failures, s.truncated, len(s.records), len(s.features))
+    return spark.createDataFrame([row], "key string, n_checked long, n_failures long, truncated boolean, n_shown long, n_tiles long")
+
+
 def _plain(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -182,6 +219,21 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resume_todo": resume_todo,
     "rtc_inputs_urls": rtc_inputs_urls,
     "tile_features": tile_features,
+    "ids_of_urls": lambda s, d: fx.products(s, d).select("opera_id", ids.id_from_url("alert_url").alias("url_id")),
+    "input_counts": lambda s, d: inputs_audit.input_counts(inputs_audit.parse_actual_inputs(fx.tags(s, d))),
+    "tile_totals": lambda s, d: aoi.tile_totals(fx.products(s, d)),
+    "left_out": lambda s, d: left_out(fx.inputs(s, d)),
+    "product_geometry": lambda s, d: with_tile_geometry(fx.products(s, d), fx.tile_shapes(s, d)).select("opera_id", "mgrs_tile_id", "geometry"),
+    "input_geometry": lambda s, d: with_burst_geometry(fx.inputs(s, d), fx.burst_shapes(s, d)).select("opera_id", "jpl_burst_id", "geometry"),
+    "tile_outlines": lambda s, d: fx.fine_outlines(s, d).select("mgrs_tile_id", wkt_rounded(F.col("geometry")).alias("outline")),
+    "frame_of_tiles": frame_of_tiles,
+    "expected_of_tiles": lambda s, d: enumerate.build_expected_products(fx.frame(s, d), _sampled_tiles(s, d)),
+    "tags_todo": tags_todo,
+    "product_items": lambda s, d: granules.parse_products(fx.product_items(s, d)),
+    "input_items": input_items,
+    "search_links": search_links,
+    "section_duplicates": lambda s, d: _section(s, sections.duplicates_section(fx.products(s, d), fx.tile_shapes(s, d))),
+    "section_ordering": lambda s, d: _section(s, sections.ordering_section(_dedup(s, d), fx.tile_shapes(s, d))),
 }
 
 
@@ -442,6 +494,49 @@ FROM (SELECT *, row_number() OVER (PARTITION BY mgrs_tile_id ORDER BY acq_time,
 """,
 }
 
+_SQUARE = "'POLYGON ((' || x || ' ' || y || ', ' || (x + 1) || ' ' || y || ', ' || (x + 1) || ' ' || (y + 1) || ', ' || x || ' ' || (y + 1) || ', ' || x || ' ' || y || '))'"
+_AT = "-180 + n % 360 AS x, -60 + (n // 360) % 120 AS y"
+_SHAPES = f", shapes AS (SELECT lpad(CAST(n AS VARCHAR), 5, '0') AS mgrs_tile_id, {_SQUARE} AS geometry FROM (SELECT n, {_AT} FROM (SELECT DISTINCT c_custkey // 4 AS n FROM customer) WHERE n % 7 <> 0))"
+_SOME = "(SELECT mgrs_tile_id FROM (SELECT DISTINCT mgrs_tile_id FROM products) ORDER BY md5('42|' || mgrs_tile_id), mgrs_tile_id LIMIT 5)"
+_FOUR = "rtrim(rtrim(printf('%.4f', {0}), '0'), '.')"
+_COUNTED = """
+SELECT '{0}' AS key, ({1}) AS n_checked, count(*) AS n_failures, count(*) > 50000 AS truncated, least(count(*), 50000) AS n_shown,
+  count(DISTINCT mgrs_tile_id) FILTER (nth <= 50000 AND mgrs_tile_id IN (SELECT mgrs_tile_id FROM shapes)) AS n_tiles
+FROM (SELECT *, row_number() OVER (ORDER BY opera_id) AS nth FROM ({2}))
+"""
+
+_SELECTS |= {
+    "ids_of_urls": "SELECT opera_id, string_split(alert_url, '/')[-2] AS url_id FROM purl",
+    "input_counts": "SELECT product, mgrs_tile_id, input_category, count(*) AS n_inputs FROM actual GROUP BY ALL",
+    "tile_totals": "SELECT count(*) AS n_products, count(DISTINCT mgrs_tile_id) AS n_tiles FROM products",
+    "left_out": "SELECT polarizations, count(*) AS n_inputs FROM granules WHERE polarizations NOT IN ('VV+VH', 'HH+HV') GROUP BY ALL",
+    "product_geometry": _SHAPES + " SELECT opera_id, mgrs_tile_id, geometry FROM products LEFT JOIN shapes USING (mgrs_tile_id)",
+    "input_geometry": f"SELECT opera_id, jpl_burst_id, CASE WHEN n % 7 <> 0 THEN {_SQUARE} END AS geometry FROM (SELECT *, {_AT} FROM granules)",
+    "tile_outlines": """
+SELECT lpad(CAST(n AS VARCHAR), 5, '0') AS mgrs_tile_id, 'POLYGON ((' || {0} || ' ' || {2} || ', ' || {1} || ' ' || {2} || ', ' || {0} || ' ' || {3} || ', ' || {0} || ' ' || {2} || '))' AS outline
+FROM (SELECT n, n % 360 - 180 + (n % 977) / 977 AS x, n % 170 - 85 - (n % 983) / 983 AS y FROM (SELECT DISTINCT c_custkey // 4 AS n FROM customer))
+""".format(*[_FOUR.format(v) for v in ("x", "x + 0.5", "y", "y + 0.25")]),
+    "frame_of_tiles": f"SELECT opera_id, mgrs_tile_id, pass_id, grp AS acq_group_id_within_mgrs_tile, track_token FROM frame WHERE mgrs_tile_id IN {_SOME}",
+    "expected_of_tiles": f"SELECT * FROM ({_SELECTS['expected_products']}) WHERE mgrs_tile_id IN {_SOME}",
+    "tags_todo": "SELECT opera_id, alert_url FROM purl WHERE alert_url IS NOT NULL AND k % 6 <> 0",
+    "product_items": f"""
+SELECT opera_id, mgrs_tile_id, {_T.format('acq_time')}, {_T.format('processing_time')}, sat, opera_dedup_id, CASE WHEN k % 41 <> 0 THEN f || '_GEN-DIST-STATUS.tif' END AS alert_url,
+  CASE WHEN k % 3 <> 0 THEN f || '_GEN-METRIC.tif' END AS metric_url, CASE WHEN k % 2 = 0 THEN f || '_GEN-DIST-STATUS-ACQ.tif' END AS alert_acq_url
+FROM (SELECT *, 'https://data.example.org/products/' || opera_id || '/' || opera_id AS f FROM products)
+""",
+    "input_items": f"""
+SELECT opera_id, jpl_burst_id, {_T.format('acq_dt')}, {_T.format('processing_dt')}, track_number, CASE WHEN n % 50 = 0 THEN '' ELSE polarizations END AS polarizations,
+  f || string_split(polarizations, '+')[1] || '.tif' AS url_copol, coalesce(f || nullif(string_split(polarizations, '+')[2], '') || '.tif', '') AS url_crosspol
+FROM (SELECT *, 'https://data.example.org/inputs/' || opera_id || '/' || opera_id || '_' AS f FROM raw)
+""",
+    "search_links": f"""
+SELECT opera_id, CASE WHEN k % 7 <> 0 AND k % 9 = 0 THEN '' ELSE 'https://search.example.org/?polygon=' || url_encode(replace(replace({_SQUARE}, ', ', ','), 'POLYGON (', 'POLYGON(')) ||
+  '&start=' || strftime(acq_time - to_days(1), '%Y-%m-%dT%H:%M:%SZ') || '&end=' || strftime(acq_time + to_days(1), '%Y-%m-%dT%H:%M:%SZ') || '&resultsLoaded=true' END AS search_url FROM (SELECT *, {_AT} FROM products)
+""",
+    "section_duplicates": _SHAPES + _COUNTED.format("duplicates", "SELECT count(*) FROM products", _DUP),
+    "section_ordering": _SHAPES + _COUNTED.format("ordering", f"SELECT count(*) FROM ({_SELECTS['processing_order']}) WHERE evaluated", f"SELECT * FROM ({_SELECTS['processing_order']}) WHERE out_of_order"),
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: f"WITH {_TABLES.strip()}\n{select.strip()}" for name, select in _SELECTS.items()}
