@@ -11,7 +11,7 @@ from __future__ import annotations
 import html
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +24,8 @@ from passledger.llm.crf import Crf, slot, train
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body br button canvas caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe label legend li link main menu meta nav noscript ol optgroup option p pre search section select summary table tbody td template textarea tfoot th thead title tr ul".split())
+_INLINE = frozenset("a abbr b big cite code em font i mark q s small span strike strong sub sup tt u".split())
+_OUTER = frozenset("nav header footer aside form head".split())
 #: Their content is markup or code, never text.
 _SILENT = frozenset("script style template noembed noframes iframe".split())
 #: Foreign and embedded content; without an end tag only the start tag is passed over.
@@ -37,11 +39,72 @@ _NAMED = re.compile(r"(?:^|[\s/\"'])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+class Open:
+    """An open element, as the blocks in it see it.
+
+    It holds only what it adds to the elements around it, so that deep pages cost no more than
+    flat ones: `new` are the features of its tag and names that these lack, `inner` the innermost
+    tag that is not inline, its names and the tag around that one.
+    """
+
+    __slots__ = ("parent", "tag", "words", "new", "inner", "linked", "outer", "main", "score")
+
+    def __init__(self, parent: Open | None = None, tag: str = "", words: tuple[str, ...] = (), new: tuple[str, ...] = ()):
+        solid = parent is not None and tag not in _INLINE
+        self.parent, self.tag, self.words, self.new = parent, tag, words, new
+        self.inner: tuple[str, tuple[str, ...], str] = (tag, words, parent.inner[0]) if solid else parent.inner if parent else ("", (), "")
+        self.linked = tag == "a" or (parent is not None and parent.linked)
+        self.outer = tag in _OUTER or (parent is not None and parent.outer)
+        self.main = tag in ("article", "main") or (parent is not None and parent.main)
+        self.score: float | None = None
+
+
+class _Elements:
+    """The open elements of a page, with the places of each tag."""
+
+    def __init__(self):
+        self.stack = [Open()]
+        self.places: dict[str, list[int]] = {}
+        self.seen: set[str] = set()
+
+    @property
+    def top(self) -> Open:
+        return self.stack[-1]
+
+    def open(self, tag: str, words: tuple[str, ...]) -> None:
+        features = [] if tag in _INLINE else ["tag=" + tag]
+        features += ["word=" + w for w in words]
+        new = tuple(x for x in dict.fromkeys(features) if x not in self.seen)
+        self.seen.update(new)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(Open(self.top, tag, words, new))
+
+    def _nearest(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open one of `tags`, 0 if none is open."""
+        at = 0
+        for tag in tags:
+            own = self.places.get(tag)
+            if own and own[-1] > at:
+                at = own[-1]
+        return at
+
+    def close(self, names: Iterable[str], stops: Iterable[str] = ()) -> None:
+        """Closes the nearest open one of `names` and all in it, unless one of `stops` is nearer."""
+        at = self._nearest(names)
+        if not at or at < self._nearest(stops):
+            return
+        for gone in reversed(self.stack[at:]):
+            self.places[gone.tag].pop()
+            for x in gone.new:
+                self.seen.remove(x)
+        del self.stack[at:]
+
+
 @dataclass(frozen=True)
 class Block:
-    """A leaf block: open elements around it, outermost first, as (tag, names), and its text."""
+    """A leaf block: the innermost element open around it, and its text."""
 
-    path: tuple[tuple[str, str], ...]
+    path: Open
     text: str
     linked: float
 
@@ -62,7 +125,7 @@ def _foreign_ends(page: str) -> dict[int, int]:
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a page with text, in page order."""
     out: list[Block] = []
-    path: list[tuple[str, str]] = []
+    around = _Elements()
     pieces: list[str] = []
     linked = 0
     at = 0
@@ -75,7 +138,7 @@ def blocks_of(page: str | None) -> list[Block]:
             raw = "".join(pieces)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                out.append(Block(tuple(path), text, min(1.0, linked / max(1, len(raw.strip())))))
+                out.append(Block(around.top, text, min(1.0, linked / max(1, len(raw.strip())))))
             pieces.clear()
         linked = 0
 
@@ -83,17 +146,9 @@ def blocks_of(page: str | None) -> list[Block]:
         nonlocal linked
         if text:
             pieces.append(text)
-            if any(tag == "a" for tag, _ in path):
+            if around.top.linked:
                 linked += len(text.strip())
 
-    def close(names, stops=frozenset()):
-        for i in range(len(path) - 1, -1, -1):
-            if path[i][0] in names:
-                del path[i:]
-                return
-            if path[i][0] in stops:
-                return
-
     while True:
         m = _TAG.search(page, at)
         say(page[at : m.start()] if m else page[at:])
@@ -108,7 +163,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag in _BLOCK or tag in _SILENT or tag == "svg":
             flush()
         if m[2]:
-            close({tag})
+            around.close((tag,))
             continue
         if tag in _SILENT:
             if not m[4].rstrip().endswith("/"):
@@ -123,14 +178,13 @@ def blocks_of(page: str | None) -> list[Block]:
                 at = foreign_ends[m.start()]
                 continue
         if tag in _CLOSES:
-            close(*_CLOSES[tag])
+            around.close(*_CLOSES[tag])
         if tag in _CLOSES_P:
-            close({"p"}, _P_STOPS)
+            around.close(("p",), _P_STOPS)
         if tag == "body":
-            close({"head"})
+            around.close(("head",))
         if tag not in _VOID:
-            names = " ".join(x.lower() for n in _NAMED.findall(m[4]) for x in _PART.findall("".join(n))) if m[4] else ""
-            path.append((tag, names))
+            around.open(tag, tuple(x.lower() for n in _NAMED.findall(m[4]) for x in _PART.findall("".join(n))) if m[4] else ())
     flush()
     return out
 
@@ -138,21 +192,25 @@ def blocks_of(page: str | None) -> list[Block]:
 # ---- features
 
 _SLOTS = 1 << 15
-_INLINE = frozenset("a abbr b big cite code em font i mark q s small span strike strong sub sup tt u".split())
 
 
-def path_features(path: tuple[tuple[str, str], ...]) -> list[int]:
-    """Ancestor tags and class words, the innermost block tag and its parent."""
-    solid = [(t, n) for t, n in path if t not in _INLINE]
-    tags = {t for t, _ in solid}
-    words = {w for _, n in path for w in n.split()}
-    inner = [t for t, _ in solid[-2:]][::-1] + ["", ""]
-    names = [f"tag={t}" for t in tags] + [f"word={w}" for w in words] + [f"inner={inner[0]}", f"pair={inner[0]},{inner[1]}"]
-    names += [f"named={inner[0]},{w}" for w in (solid[-1][1].split() if solid else ())]
-    if not tags & {"nav", "header", "footer", "aside", "form", "head"}:
+def own_features(element: Open) -> list[str]:
+    """What blocks right in an element have beside the `new` features of all elements around them."""
+    tag, words, outside = element.inner
+    names = [f"inner={tag}", f"pair={tag},{outside}", *[f"named={tag},{w}" for w in words]]
+    if not element.outer:
         names.append("tag=none of the outer ones")
-    if tags & {"article", "main"}:
+    if element.main:
         names.append("tag=article or main")
+    return names
+
+
+def path_features(element: Open) -> list[int]:
+    """Ancestor tags and class words, the innermost block tag and its parent."""
+    names, at = own_features(element), element
+    while at is not None:
+        names.extend(at.new)
+        at = at.parent
     return [slot(x, _SLOTS) for x in names]
 
 
@@ -168,11 +226,8 @@ def text_features(block: Block) -> list[str]:
     ]
 
 
-_WIDTH = 40
-
-
 def block_rows(blocks: list[Block]) -> list[list[int]]:
-    return [(path_features(b.path) + [slot(x, _SLOTS) for x in text_features(b)])[:_WIDTH] for b in blocks]
+    return [path_features(b.path) + [slot(x, _SLOTS) for x in text_features(b)] for b in blocks]
 
 
 # ---- labelled pages
@@ -285,10 +340,11 @@ def training_pages(n: int = 1800, seed: int = 23) -> Iterator[tuple[list[Block],
 
 def fit(n: int = 1800, width: int = 32, epochs: int = 12) -> Crf:
     rows, labels = [], []
-    for blocks, ys in training_pages(n):
-        made = block_rows(blocks)
+    pages = [(block_rows(blocks), ys) for blocks, ys in training_pages(n)]
+    most = max((len(features) for made, _ in pages for features in made), default=1)
+    for made, ys in pages:
         for at in range(0, len(made), width):
-            own, y = np.zeros((width, _WIDTH), np.int32), np.full(width, -1)
+            own, y = np.zeros((width, most), np.int32), np.full(width, -1)
             for i, (features, label) in enumerate(zip(made[at : at + width], ys[at : at + width])):
                 own[i, : len(features)], y[i] = features, label
             rows.append(own)
@@ -303,21 +359,35 @@ class Extractor:
         self.crf = crf
         lead = crf.weights[:, 1] - crf.weights[:, 0]
         self._lead = lead
-        self._paths: dict[tuple, float] = {}
-        self._texts = {}
+        self._known: dict[tuple, float] = {}
+
+    def _sum(self, key: tuple, names: Callable[[], Iterable[str]]) -> float:
+        """Sum of the weights of the features that `key` stands for."""
+        known = self._known.get(key)
+        if known is None:
+            if len(self._known) > 100_000:
+                self._known.clear()
+            self._known[key] = known = sum(float(self._lead[slot(x, _SLOTS)]) for x in names())
+        return known
+
+    def _around(self, element: Open) -> float:
+        """Score of the `new` features of an element and all around it; kept with each of them."""
+        chain = []
+        while element is not None and element.score is None:
+            chain.append(element)
+            element = element.parent
+        total = 0.0 if element is None else element.score
+        for own in reversed(chain):
+            if own.new:
+                total += self._sum(own.new, lambda: own.new)
+            own.score = total
+        return total
 
     def _score(self, block: Block) -> float:
-        path = self._paths.get(block.path)
-        if path is None:
-            if len(self._paths) > 100_000:
-                self._paths.clear()
-            self._paths[block.path] = path = float(self._lead[path_features(block.path)].sum())
-        total = path
-        for name in text_features(block):
-            if name not in self._texts:
-                self._texts[name] = float(self._lead[slot(name, _SLOTS)])
-            total += self._texts[name]
-        return total
+        at = block.path
+        own = self._sum((at.inner, at.outer, at.main), lambda: own_features(at))
+        texts = tuple(text_features(block))
+        return self._around(at) + own + self._sum(texts, lambda: texts)
 
     def labels(self, blocks: list[Block]) -> list[int]:
         """Viterbi on the scores' difference: main (1) or other (0)."""

@@ -119,6 +119,42 @@ def test_blocks():
     assert [b.text for b in htmltext.blocks_of("a < b <p class='x>y'>c</p> d<")] == ["a < b", "c", "d<"]
 
 
+def test_elements_around_a_block_are_those_not_closed():
+    """Features gathered by elements against those of a plain list of open elements."""
+    page = "<body class='site wide'><div class=mainPart><p id=lead>a<b class=lead><p>b<ul><li><font class=site>c<li>d</ul><article><nav class=x>e</nav><table><tr><td>f<td>g</table>h</div><h2>i<aside>j"
+    around = {
+        "a": [("body", "site wide"), ("div", "main part"), ("p", "lead")],
+        "b": [("body", "site wide"), ("div", "main part"), ("p", "")],
+        "c": [("body", "site wide"), ("div", "main part"), ("ul", ""), ("li", ""), ("font", "site")],
+        "d": [("body", "site wide"), ("div", "main part"), ("ul", ""), ("li", "")],
+        "e": [("body", "site wide"), ("div", "main part"), ("article", ""), ("nav", "x")],
+        "f": [("body", "site wide"), ("div", "main part"), ("article", ""), ("table", ""), ("tr", ""), ("td", "")],
+        "g": [("body", "site wide"), ("div", "main part"), ("article", ""), ("table", ""), ("tr", ""), ("td", "")],
+        "h": [("body", "site wide"), ("div", "main part"), ("article", "")],
+        "i": [("body", "site wide"), ("h2", "")],
+        "j": [("body", "site wide"), ("h2", ""), ("aside", "")],
+    }
+    found = {b.text: sorted(htmltext.path_features(b.path)) for b in htmltext.blocks_of(page)}
+    assert list(found) == list(around)
+    for text, path in around.items():
+        solid = [x for x in path if x[0] != "font"]
+        names = {f"tag={t}" for t, _ in solid} | {f"word={w}" for _, n in path for w in n.split()}
+        names = [*names, f"inner={solid[-1][0]}", f"pair={solid[-1][0]},{solid[-2][0]}", *[f"named={solid[-1][0]},{w}" for w in solid[-1][1].split()]]
+        names += ["tag=none of the outer ones"] * (text not in "ej") + ["tag=article or main"] * (text in "efgh")
+        assert found[text] == sorted(htmltext.slot(x, htmltext._SLOTS) for x in names), text
+
+
+def test_deep_pages_are_linear(extractor):
+    """100,000 open elements; quadratic work would take minutes."""
+    import time
+
+    n, start = 100_000, time.monotonic()
+    for page in ("<font>x<br>" * n, "".join(f"<font class={'abcdefgh'[i % 8] * (i % 31 + 1)}>x<br>" for i in range(n)), "<font>" * n + "<li>x" * n, "<div>" * n + "</b>x<p>" * n):
+        assert len(htmltext.blocks_of(page)) == n
+        extractor.text(page)
+    assert time.monotonic() - start < 60
+
+
 def test_foreign_content_hides_no_text():
     texts = lambda page: [b.text for b in htmltext.blocks_of(page)]
     assert texts("<p>Let <math><mi>x</mi></math> be</p><object data='a'>fall <object>back</object> here</object><p>z") == ["Let x be", "fall back here", "z"]
