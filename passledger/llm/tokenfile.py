@@ -7,9 +7,9 @@ codebook   one row: code length of every id, a byte each, zlib-compressed
 segments   `part`, `segment` (their order is that of the documents), `n_tokens`, `data`
 
 `data` of a segment, all numbers little-endian:
-    magic b"HCS1", uint32 docs, uint32 tokens a block, uint64 tokens
+    magic b"HCS2", uint32 docs, uint32 tokens a block, uint64 tokens
     docs x int64 id, docs x uint8 (1: the id is null), docs x uint32 tokens
-    blocks x uint32 bit offset of the block
+    blocks x uint64 bit offset of the block
     the codes, most significant bit first, 8 zero bytes at the end
 Blocks decode independently from their bit offsets, all of a segment side by side.
 """
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from passledger.llm.common import pick, remove, scratch, stored, text_blocks
 
-MAGIC = b"HCS1"
+MAGIC = b"HCS2"
 #: Tokens in a block, tokens in a segment (a longer document is one segment), longest code in bits.
 BLOCK, SEGMENT, MAX_BITS = 512, 1_000_000, 18
 #: Bytes of raw ids that a range partition takes, about.
@@ -224,7 +224,7 @@ def pack_segment(doc_ids: list[int | None], ids: list[np.ndarray], codes: np.nda
         np.array([x or 0 for x in doc_ids], "<i8").tobytes(),
         np.array([x is None for x in doc_ids], np.uint8).tobytes(),
         np.array([len(x) for x in ids], "<u4").tobytes(),
-        begin[::BLOCK].astype("<u4").tobytes(),
+        begin[::BLOCK].astype("<u8").tobytes(),
         payload,
     ]
     return b"".join(parts)
@@ -241,8 +241,8 @@ def unpack_segment(data: bytes, table: np.ndarray, bits: int) -> tuple[list[int
     counts = np.frombuffer(data, "<u4", docs, at + 9 * docs).astype(np.int64)
     at += 13 * docs
     n_blocks = -(-tokens // block)
-    place = np.frombuffer(data, "<u4", n_blocks, at).astype(np.int64)
-    raw = np.frombuffer(data, np.uint8, offset=at + 4 * n_blocks).astype(np.uint32)
+    place = np.frombuffer(data, "<u8", n_blocks, at).astype(np.int64)
+    raw = np.frombuffer(data, np.uint8, offset=at + 8 * n_blocks).astype(np.uint32)
     window = raw[:-3] << np.uint32(24) | raw[1:-2] << np.uint32(16) | raw[2:-1] << np.uint32(8) | raw[3:]
     out = np.zeros((block, n_blocks), np.uint32)
     left = tokens - (n_blocks - 1) * block
