@@ -24,6 +24,8 @@ WINDOW, EMBEDDING, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 #: The sample that the network is fitted on: documents of a language, windows of a
 #: document, characters of a document, languages with so many documents (more languages share them).
 SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_CHARS, SAMPLE_LANGS = 400, 6, 60_000, 256
+#: Characters of all sampled texts together, which the driver holds; texts share them evenly.
+SAMPLE_TOTAL = 96_000_000
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _IS_LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
@@ -163,7 +165,8 @@ def training_sample(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """(text, lang) of documents outside the held-out fold of crc32(id as text), in a fixed order.
 
     Bounded by `SAMPLE_DOCS` a language, fewer if there are more than `SAMPLE_LANGS`
-    languages but one at least, and by `SAMPLE_CHARS`, in pieces from all over a longer text.
+    languages but one at least, and by `SAMPLE_CHARS`, or less where the texts together would
+    exceed `SAMPLE_TOTAL`, in pieces from all over a longer text.
     Of rows that repeat id and language one counts.  Rows without id, text or language take no part.
     """
     rows = pick(documents, doc_id=id_col, text=text_col, lang=lang_col)
@@ -171,13 +174,15 @@ def training_sample(documents: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != held_out)
     # Only ids are ranked; texts are fetched for the chosen ones.
     ranked = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    share = max(1, min(SAMPLE_DOCS, SAMPLE_DOCS * SAMPLE_LANGS // max(1, rows.select("lang").distinct().count())))
+    n_langs = max(1, rows.select("lang").distinct().count())
+    share = max(1, min(SAMPLE_DOCS, SAMPLE_DOCS * SAMPLE_LANGS // n_langs))
+    most = max(WINDOW, min(SAMPLE_CHARS, SAMPLE_TOTAL // (share * n_langs)))
     chosen = rows.select("doc_id", "lang").distinct().withColumn("n", F.row_number().over(ranked)).where(F.col("n") <= share).drop("n")
     found = rows.join(F.broadcast(chosen), ["doc_id", "lang"])
-    piece = SAMPLE_CHARS // SAMPLE_WINDOWS
+    piece = most // SAMPLE_WINDOWS
     step = F.floor((F.length("text") - piece) / (SAMPLE_WINDOWS - 1))
     pieces = [F.substring("text", (step * i + 1).cast("int"), F.lit(piece)) for i in range(SAMPLE_WINDOWS)]
-    found = found.withColumn("text", F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(F.concat(*pieces)))
+    found = found.withColumn("text", F.when(F.length("text") <= most, F.col("text")).otherwise(F.concat(*pieces)))
     found = found.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     return [(r["text"], r["lang"]) for r in found.orderBy("lang", "doc_id").collect()]
 
