@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passledger.llm import decontam, htmltext, langid, mixing, neardup, secrets, tokencount, tokenfile, topk, toxicity
-from passledger.llm.common import word_count
+from passledger.llm.common import stored, word_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,7 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     slim = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    slim = stored(slim, "mix-sizes")  # words are counted once, not in each pass over sizes
     mixed = mixing.mix(slim, size_col="size")
     return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
 
