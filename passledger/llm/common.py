@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -68,6 +69,25 @@ def others(df: DataFrame, *results: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def give_back() -> None:
+    """Returns what this process has freed to the system, where its allocators can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
+def frugal(run: Callable) -> Callable:
+    """`run` for mapInArrow, and then `give_back`: Python workers outlive their tasks, beside those of later stages."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidy
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BLOCK_CHARS) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that each slice holds about `limit` bytes of text, or one longer row."""
     for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passledger.llm.common import others, pick, text_blocks, utf8_values
+from passledger.llm.common import frugal, others, pick, text_blocks, utf8_values
 
 #: Every ASCII byte outside 0-9, A-Z, a-z separates words; A-Z become a-z; bytes from 0x80 are word bytes.
 _FOLD = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
@@ -244,7 +244,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, text_col: str
     for block in _items_in_blocks(items, block_chars):
         schema = df.schema
         shared = df.sparkSession.sparkContext.broadcast(SuffixAutomaton(block, window))
-        df = df.mapInArrow(_scanner(shared, to_arrow_schema(schema)), schema)
+        df = df.mapInArrow(frugal(_scanner(shared, to_arrow_schema(schema))), schema)
     return df.select("rest.*", F.col("n_words").alias("_n_words"), F.col("spans").alias("_spans"), F.col("items").alias("_items"))
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passledger.llm.common import discard, pick, stored, text_blocks, utf8_values
+from passledger.llm.common import discard, frugal, pick, stored, text_blocks, utf8_values
 
 #: A-Z become a-z; the ASCII white space 09-0D becomes a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
@@ -335,7 +335,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     gives an empty result.
     """
     rows = pick(documents, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stored(rows.mapInArrow(_signed(k), "doc_id long, n_shingles long, set_key binary, sig binary"), "signed")
+    signed = stored(rows.mapInArrow(frugal(_signed(k)), "doc_id long, n_shingles long, set_key binary, sig binary"), "signed")
     classes = stored(signed.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sig").alias("sig")), "classes")
     nodes = _nodes(classes.select("rep", "sig"), percent / 100, node_limit)
     labels = _merged(rows, nodes, k, percent, node_limit, group_bytes)
@@ -352,7 +352,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
     """(tree, node, rep, sig) of all nodes with two members or more, within the limit."""
     shape = "tree int, node long, rep long"
-    open_ = classes.mapInArrow(_planted(trees_for(similarity)), shape)
+    open_ = classes.mapInArrow(frugal(_planted(trees_for(similarity))), shape)
     done, used = None, []
     for level in range(MAX_LEVELS + 1):
         open_ = stored(open_, "nodes")
@@ -369,7 +369,7 @@ def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
         done = done.unionByName(_block_pairs(rest if ends else rest.where(~wide), limit))
         if ends:
             break
-        open_ = rest.where(wide).join(classes, "rep").select("tree", "node", "rep", "sig").mapInArrow(_branched(similarity, 1 if level else copies_for(similarity)), shape).distinct()
+        open_ = rest.where(wide).join(classes, "rep").select("tree", "node", "rep", "sig").mapInArrow(frugal(_branched(similarity, 1 if level else copies_for(similarity))), shape).distinct()
     members = stored(done.join(classes, "rep").select("tree", "node", "rep", "sig"), "members")
     discard(*used)
     return members
@@ -387,7 +387,7 @@ def _block_pairs(rows: DataFrame, limit: int) -> DataFrame:
 def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int, group_bytes: int) -> DataFrame | None:
     """(id, comp) of linked representatives, or None without links."""
     grouped = nodes.select("node", "rep", "sig").repartition("node").sortWithinPartitions("node", "rep")
-    maybe = stored(grouped.mapInArrow(_alike_in(least_agreement(percent / 100)), "a long, b long").distinct(), "alike")
+    maybe = stored(grouped.mapInArrow(frugal(_alike_in(least_agreement(percent / 100))), "a long, b long").distinct(), "alike")
     if not maybe.limit(1).count():
         return None
     found = components(maybe)
@@ -398,7 +398,7 @@ def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int,
     sizes = texts.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
     sizes = stored(sizes.withColumn("fits", (F.col("n") <= limit * GROUP_TIMES) & (F.col("bytes") <= group_bytes)), "sizes")
     small = texts.join(sizes.where("fits").select("part"), "part").repartition("part").sortWithinPartitions("part", "rep")
-    links = inside = stored(small.select("part", "rep", "text").mapInArrow(_linked_in("part", k, percent), "a long, b long"), "links")
+    links = inside = stored(small.select("part", "rep", "text").mapInArrow(frugal(_linked_in("part", k, percent)), "a long, b long"), "links")
     if sizes.where("not fits").limit(1).count():
         rest = texts.join(sizes.where("not fits").select("part"), "part").select("rep", "text")
         links = links.unionByName(_links_by_node(rest, nodes, k, percent))
@@ -418,7 +418,7 @@ def _links_by_node(texts: DataFrame, nodes: DataFrame, k: int, percent: int) ->
             mixed = at.groupBy("node").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("node")
             own = own.join(mixed, "node")
         full = own.join(texts, "rep").select("node", "rep", "text").repartition("node").sortWithinPartitions("node", "rep")
-        found = stored(full.mapInArrow(_linked_in("node", k, percent), "a long, b long").distinct(), "links")
+        found = stored(full.mapInArrow(frugal(_linked_in("node", k, percent)), "a long, b long").distinct(), "links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
     return links

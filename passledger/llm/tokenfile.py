@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from passledger.llm.common import pick, remove, scratch, stored, text_blocks
+from passledger.llm.common import frugal, pick, remove, scratch, stored, text_blocks
 
 MAGIC = b"HCS2"
 #: Tokens in a block, tokens in a segment (a longer document is one segment), longest code in bits.
@@ -301,16 +301,16 @@ def write_tokens(documents: DataFrame, path: str, tokenizer_json: str, id_col: s
     dtype, vocabulary = encoder.dtype.str, max(encoder.tokenizer.get_vocab_size(), end_id + 1)
     spec = spark.sparkContext.broadcast(tokenizer_json)
     rows = pick(documents, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    encoded = stored(rows.mapInArrow(_encoded(spec, end_id), "doc_id long, ids binary"), "ids")
+    encoded = stored(rows.mapInArrow(frugal(_encoded(spec, end_id)), "doc_id long, ids binary"), "ids")
     counts = np.zeros(vocabulary, np.int64)
     # At most one row for each id of the vocabulary.
-    for r in encoded.mapInArrow(_counted(dtype, vocabulary), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in encoded.mapInArrow(frugal(_counted(dtype, vocabulary)), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r["id"]] = r["n"]
     book = zlib.compress(code_lengths(counts).tobytes())
     spark.createDataFrame([(bytearray(book),)], "lengths binary").write.parquet(f"{path}/codebook")
     parts = max(2, int(counts.sum()) * encoder.dtype.itemsize // PART_BYTES + 1)
     ordered = encoded.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
-    packed = ordered.mapInArrow(_packed(spark.sparkContext.broadcast(book), dtype), "part long, segment long, n_tokens long, data binary")
+    packed = ordered.mapInArrow(frugal(_packed(spark.sparkContext.broadcast(book), dtype)), "part long, segment long, n_tokens long, data binary")
     packed.write.option("compression", "none").parquet(f"{path}/segments")
     remove(spark, encoded.scratch_path)
 
@@ -356,7 +356,7 @@ def _open(spark: SparkSession, path: str) -> tuple[DataFrame, bytes]:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id long, n_tokens long, ids binary (little-endian unsigned 32-bit) of a dataset."""
     segments, book = _open(spark, path)
-    out = segments.select("part", "segment", "data").mapInArrow(_read(book), "part long, segment long, doc_id long, start long, n_tokens long, ids binary")
+    out = segments.select("part", "segment", "data").mapInArrow(frugal(_read(book)), "part long, segment long, doc_id long, start long, n_tokens long, ids binary")
     return out.select("doc_id", "n_tokens", "ids")
 
 
@@ -371,7 +371,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     parts = parts.select("part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("base"))
     inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     bases = segments.select("part", "segment", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("before")).join(parts, "part")
-    docs = segments.select("part", "segment", "data").mapInArrow(_digested(book), "part long, segment long, doc_id long, start long, n_tokens long, ids_crc32 long")
+    docs = segments.select("part", "segment", "data").mapInArrow(frugal(_digested(book)), "part long, segment long, doc_id long, start long, n_tokens long, ids_crc32 long")
     joined = docs.join(bases, ["part", "segment"])
     return joined.select("doc_id", (F.col("base") + F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from passledger.llm.common import others, pick, text_blocks
+from passledger.llm.common import frugal, others, pick, text_blocks
 from passledger.llm.crf import Crf, marginals, slot, train
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -362,5 +362,5 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, text_col: str = "
     rest = F.struct(*[documents[f"`{c}`"] for c in others(documents, "_score", "_spans")]).alias("rest")
     df = documents.select(rest, documents[f"`{text_col}`"].cast("string").alias("text"), F.lit(0.0).alias("score"), F.array().cast(SPANS).alias("spans"))
     shared = df.sparkSession.sparkContext.broadcast(model)
-    out = df.mapInArrow(_scorer(shared, to_arrow_schema(df.schema)), df.schema)
+    out = df.mapInArrow(frugal(_scorer(shared, to_arrow_schema(df.schema))), df.schema)
     return out.select("rest.*", F.col("score").alias("_score"), F.col("spans").alias("_spans"))
