@@ -14,7 +14,7 @@ def test_every_query_has_its_sql():
     assert set(queries.queries()) == set(queries.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["section_duplicates", "tile_features"])
+@pytest.mark.parametrize("name", ["section_duplicates", "section_ordering", "tile_features"])
 def test_tiles_that_share_an_id_give_one_row(spark, sf_dir, tmp_path, name):
     """Tile numbers of six digits lose the last one in the id, so that a tile has several outlines."""
     con = duckdb.connect()
