@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Characters of text that a Python worker turns into Python objects at one time.
 BLOCK_CHARS = 4_000_000
+#: Files a core of tables that `stored` keeps in few.
+FEW_FILES = 4
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,9 +37,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """`df` written to the shared folder and read back: a lineage cut that outlives executors."""
+def stored(df: DataFrame, name: str, codec: str = "zstd", few: bool = False) -> DataFrame:
+    """`df` written to the shared folder and read back: a lineage cut that outlives executors.
+
+    With `few`, for narrow rows, into `FEW_FILES` files a core at most: each file costs a task, and
+    on local folders the launch of a `chmod` by the executor.
+    """
     path = scratch(df.sparkSession, name)
+    df = df.coalesce(FEW_FILES * df.sparkSession.sparkContext.defaultParallelism) if few else df
     df.write.option("compression", codec).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path

@@ -306,15 +306,15 @@ def components(links: DataFrame) -> DataFrame:
     Minimum labels of neighbours, then labels of labels, until nothing changes; each
     round is a written table.
     """
-    edges = stored(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").distinct(), "edges")
-    kept = stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.col("a").alias("old"), F.least("a", "m").alias("comp")), "labels")
+    edges = stored(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b").distinct(), "edges", few=True)
+    kept = stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.col("a").alias("old"), F.least("a", "m").alias("comp")), "labels", few=True)
     while True:
         labels = kept.select("id", "comp")
         near = edges.join(labels, edges.b == labels.id).groupBy("a").agg(F.min("comp").alias("near"))
         new = labels.join(near, labels.id == near.a, "left").select("id", F.col("comp").alias("old"), F.least("comp", F.coalesce("near", "comp")).alias("comp"))
-        new = stored(new, "labels")
+        new = stored(new, "labels", few=True)
         up = new.select(F.col("id").alias("up"), F.col("comp").alias("top"))
-        jumped = stored(new.join(up, new.comp == up.up, "left").select("id", "old", F.least("comp", F.coalesce("top", "comp")).alias("comp")), "labels")
+        jumped = stored(new.join(up, new.comp == up.up, "left").select("id", "old", F.least("comp", F.coalesce("top", "comp")).alias("comp")), "labels", few=True)
         discard(kept, new)
         kept = jumped
         if not kept.where("comp <> old").limit(1).count():
@@ -356,7 +356,7 @@ def _nodes(classes: DataFrame, similarity: float, limit: int) -> DataFrame:
     done, used = None, []
     for level in range(MAX_LEVELS + 1):
         open_ = stored(open_, "nodes")
-        sizes = stored(open_.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        sizes = stored(open_.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "sizes", few=True)
         used += [open_, sizes]
         fit = open_.join(sizes.where(F.col("n") <= limit).select("node"), "node")
         done = fit if done is None else done.unionByName(fit)
@@ -387,7 +387,7 @@ def _block_pairs(rows: DataFrame, limit: int) -> DataFrame:
 def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int, group_bytes: int) -> DataFrame | None:
     """(id, comp) of linked representatives, or None without links."""
     grouped = nodes.select("node", "rep", "sig").repartition("node").sortWithinPartitions("node", "rep")
-    maybe = stored(grouped.mapInArrow(frugal(_alike_in(least_agreement(percent / 100))), "a long, b long").distinct(), "alike")
+    maybe = stored(grouped.mapInArrow(frugal(_alike_in(least_agreement(percent / 100))), "a long, b long").distinct(), "alike", few=True)
     if not maybe.limit(1).count():
         return None
     found = components(maybe)
@@ -396,7 +396,7 @@ def _merged(rows: DataFrame, nodes: DataFrame, k: int, percent: int, limit: int,
     texts = stored(texts, "texts")
     discard(maybe, found)
     sizes = texts.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-    sizes = stored(sizes.withColumn("fits", (F.col("n") <= limit * GROUP_TIMES) & (F.col("bytes") <= group_bytes)), "sizes")
+    sizes = stored(sizes.withColumn("fits", (F.col("n") <= limit * GROUP_TIMES) & (F.col("bytes") <= group_bytes)), "sizes", few=True)
     small = texts.join(sizes.where("fits").select("part"), "part").repartition("part").sortWithinPartitions("part", "rep")
     links = inside = stored(small.select("part", "rep", "text").mapInArrow(frugal(_linked_in("part", k, percent)), "a long, b long"), "links")
     if sizes.where("not fits").limit(1).count():

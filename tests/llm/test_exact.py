@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from passledger.llm import decontam, mixing, neardup, topk
+from passledger.llm import common, decontam, mixing, neardup, topk
 from tests.oracle import same
 
 R = random.Random(4)
@@ -141,6 +141,29 @@ def test_near_duplicates(spark, k, percent, limit, group):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got.collect()} == brute_components(rows, k, percent)
 
 
+def test_components_write_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has: executors launch a process for each file on local folders."""
+    pairs = spark.range(2000).select(F.col("id").alias("a"), (F.col("id") + F.when(F.col("id") % 10 == 9, 0).otherwise(1)).alias("b"))
+    files = []
+
+    def counted(*args, **options):
+        out = common.stored(*args, **options)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert {r.id: r.comp for r in neardup.components(pairs).collect()} == {i: i // 10 * 10 for i in range(2000)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files and max(files) <= 4 * spark.sparkContext.defaultParallelism < 64
+
+
 def test_near_duplicates_of_none_and_of_repeated_rows(spark):
     assert neardup.near_duplicates(docs(spark, [(1, "a b c")]).limit(0)).count() == 0
     rows = [(1, "a b c d"), (1, "a b c d"), (2, "A b  c d"), (None, "a b c d"), (3, "q")]
