@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 from passledger import queries
+from passledger.plans import sections
 from tests.oracle import same
 
 
@@ -24,6 +25,21 @@ def test_tiles_that_share_an_id_give_one_row(spark, sf_dir, tmp_path, name):
     assert same(spark, str(tmp_path), queries.queries()[name], queries.oracle_sql()[name])
 
 
+@pytest.mark.parametrize("name", ["section_duplicates", "section_ordering"])
+def test_sections_with_more_failures_than_they_show(spark, sf_dir, tmp_path, monkeypatch, name):
+    """As on large tables: the failures shown end among tiles that share an id."""
+    *others, most = sections.build_section.__defaults__
+    sql = queries.oracle_sql()[name]
+    assert most == 50_000 and sql.count("50000") == 3
+    con = duckdb.connect()
+    con.execute(f"copy (select * replace (c_custkey + i as c_custkey) from '{sf_dir}/customer.parquet', (values (40000), (400000), (400160)) t(i)) to '{tmp_path}/customer.parquet' (format parquet)")
+    con.execute(f"copy (select * replace (o_orderkey + i as o_orderkey, o_custkey + i as o_custkey) from '{sf_dir}/orders.parquet', (values (40000), (400000), (400160)) t(i)) to '{tmp_path}/orders.parquet' (format parquet)")
+    (tmp_path / "lineitem.parquet").symlink_to(f"{sf_dir}/lineitem.parquet")
+    monkeypatch.setattr(sections.build_section, "__defaults__", (*others, 15))
+    assert queries.queries()[name](spark, str(tmp_path)).first()["truncated"]
+    assert same(spark, str(tmp_path), queries.queries()[name], sql.replace("50000", "15"))
+
+
 def test_all_granules_are_searched_for_polarization_issues(spark, sf_dir):
     """Against plain Python, without the cut at the end of 1997 of `polarization_issues`."""
     import hashlib
