@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from passledger.llm.common import frugal, pick, remove, scratch, stored, text_blocks
+from passledger.llm.common import BLOCK_CHARS, frugal, pick, remove, scratch, stored, text_blocks
 
 MAGIC = b"HCS2"
 #: Tokens in a block, tokens in a segment (a longer document is one segment), longest code in bits.
@@ -77,6 +78,8 @@ class Encoder:
         self._by_word = separable(json.loads(tokenizer_json)) and self.tokenizer.truncation is None
         self._letters = str.maketrans(dict(zip(map(chr, range(256)), _byte_letters())))
         self._chunks, self._pieces = _Chunks(self._chunk), {}
+        spec = json.loads(tokenizer_json)
+        self._blocks = BlockEncoder(self, spec["model"]) if self._by_word and Merges.fit(spec) else None
 
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
@@ -103,9 +106,20 @@ class Encoder:
             return b""
         if not self._by_word:
             return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self._word, text.replace("\n", " ").split(" ")))
+
+    def _word(self, chunk: str) -> bytes:
+        """Ids of what stands between spaces, of a separable tokenizer."""
         if len(self._chunks) >= _CACHE:
             self._chunks.clear()
-        return b"".join(map(self._chunks.__getitem__, text.replace("\n", " ").split(" ")))
+        return self._chunks[chunk]
+
+    def encode_all(self, texts: pa.Array, end_id: int) -> pa.Array:
+        """Ids of every text of a column, `end_id` after each."""
+        if self._blocks:
+            return self._blocks.encode(texts, end_id)
+        end = np.array([end_id], self.dtype).tobytes()
+        return pa.array([self.encode(t) + end for t in texts.to_pylist()], pa.binary())
 
 
 class _Chunks(dict):
@@ -119,6 +133,205 @@ class _Chunks(dict):
         return out
 
 
+class Merges:
+    """Byte-pair encoding of many words at once: those of equally many symbols are rows of one array."""
+
+    #: Longest word in bytes; a longer one takes the library.
+    LONGEST = 64
+    _NEVER = np.iinfo(np.int32).max
+
+    def __init__(self, model: dict):
+        vocab, end = model["vocab"], model["end_of_word_suffix"]
+        letters = _byte_letters()
+        self.inner = np.array([vocab[x] for x in letters], np.uint32)
+        self.last = np.array([vocab[x + end] for x in letters], np.uint32)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        keys = np.array([vocab[a] << 16 | vocab[b] for a, b in pairs], np.uint32)
+        self._rank = np.argsort(keys).astype(np.int32)
+        self._keys = keys[self._rank]
+        self._made = np.array([vocab[a + b] for a, b in pairs], np.uint32)
+        # Ranks of two bytes, inside a word and at its end.
+        self._two = self._ranks(self.inner[:, None], self.inner), self._ranks(self.inner[:, None], self.last)
+
+    @staticmethod
+    def fit(spec: dict) -> bool:
+        """Whether a separable tokenizer is of the kind that this class computes.
+
+        Ids fit 16 bits, every byte is a symbol, alternatives of the split but the last three start
+        with an apostrophe, and added tokens hold a `<`: words with either take the library.
+        """
+        model = spec["model"]
+        end, vocab = model.get("end_of_word_suffix"), model.get("vocab")
+        if model.get("type") != "BPE" or not end or not vocab or max(vocab.values()) >= 1 << 16:
+            return False
+        plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges", "fuse_unk", "byte_fallback"))
+        pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x.get("type") == "Split")["pattern"]["Regex"]
+        return (
+            plain
+            and len(set(pairs)) == len(pairs)
+            and all(x in vocab and x + end in vocab for x in _byte_letters())
+            and all(x.startswith("'") for x in split.split("|")[:-3])
+            and all("<" in t["content"] for t in spec.get("added_tokens", []))
+        )
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << np.uint32(16) | right
+        at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        return np.where(self._keys[at] == key, self._rank[at], self._NEVER)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of words `which`, of 1 to `LONGEST` bytes each: pairs of word numbers and their ids, a word in a row.
+
+        As the library does, a word's leftmost pair of least rank is merged first, then the next.
+        """
+        sizes = np.diff(offsets)[which]
+        done, words, symbols, ranks = [], which[:0], np.zeros((0, self.LONGEST + 1), np.uint32), np.zeros((0, self.LONGEST), np.int32)
+        for n in range(int(sizes.max(initial=0)), 0, -1):
+            fresh = which[sizes == n]
+            if len(fresh):  # words of n bytes join those that merges have brought to n symbols
+                raw = data[offsets[fresh][:, None] + np.arange(n)]
+                own = self.inner[raw]
+                own[:, -1] = self.last[raw[:, -1]]
+                words = np.concatenate([words, fresh])
+                symbols = np.concatenate([symbols[:, :n], own])
+                two = self._two[0][raw[:, :-1], raw[:, 1:]]
+                if n > 1:
+                    two[:, -1] = self._two[1][raw[:, -2], raw[:, -1]]
+                ranks = np.concatenate([ranks[:, : n - 1], two])
+            elif not len(words):
+                continue
+            if n == 1:
+                done.append((words, symbols))
+                break
+            place = ranks.argmin(axis=1)
+            best = np.take_along_axis(ranks, place[:, None], 1)[:, 0]
+            go = best < self._NEVER
+            if not go.all():
+                done.append((words[~go], symbols[~go]))
+                words, symbols, ranks, place, best = words[go], symbols[go], ranks[go], place[go], best[go]
+            row, columns = np.arange(len(words)), np.arange(n)
+            symbols = symbols[columns != place[:, None] + 1].reshape(len(words), n - 1)
+            ranks = ranks[columns[:-1] != place[:, None]].reshape(len(words), n - 2)
+            symbols[row, place] = self._made[best]
+            for at in (place - 1, place):  # the pairs on both sides of the new symbol
+                some = np.flatnonzero((at >= 0) & (at < n - 2))
+                x = at[some]
+                ranks[some, x] = self._ranks(symbols[some, x], symbols[some, x + 1])
+        return done
+
+
+#: Kinds of bytes in texts: what separates words, letters, digits, punctuation, what takes the library, the end of a text.
+_GAP, _LETTER, _DIGIT, _SIGN, _ODD, _END = range(6)
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.full(256, _ODD, np.uint8)
+    for kind, found in ((_LETTER, r"[A-Za-z]"), (_DIGIT, r"[0-9]"), (_SIGN, r"[!-&(-/:;=-@\[-`{-~]"), (_GAP, r"[ \n]")):
+        kinds[[b for b in range(128) if re.match(found, chr(b))]] = kind
+    return kinds
+
+
+_KINDS = _kinds()
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+
+
+def _lowered(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower case, and kinds, of the bytes of texts.  Beyond ASCII, letters from À to ÿ are known; these are 0xC3 and one byte."""
+    low, kinds = _LOWER[raw], _KINDS[raw]
+    high = np.flatnonzero(raw >= 128)
+    if len(high):
+        byte, second = raw[high], raw[high - 1] == 0xC3
+        letter = second & (byte < 0xC0) & (byte != 0x97) & (byte != 0xB7)  # not × and ÷
+        lead = (byte == 0xC3) & (raw[np.minimum(high + 1, len(raw) - 1)] >= 128)
+        kinds[high[letter | lead]] = _LETTER
+        low[high[letter & (byte < 0x9F)]] += 32
+    return low, kinds
+
+
+def _windows(raw: np.ndarray, limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
+    """Begins and ends of about `limit` bytes, each behind a gap; a long text is not taken at once."""
+    a = 0
+    while a < len(raw):
+        b = a + limit
+        while b + limit < len(raw) and not len(gaps := np.flatnonzero((raw[b - limit : b] == 32) | (raw[b - limit : b] == 10))):
+            b += limit
+        b = b - limit + int(gaps[-1]) + 1 if b + limit < len(raw) else len(raw)
+        yield a, b
+        a = b
+
+
+class BlockEncoder:
+    """Ids of a whole column of texts, each distinct piece of it encoded once; equal to `encoder`'s for every text."""
+
+    def __init__(self, encoder: Encoder, model: dict):
+        self._encoder, self._merges = encoder, Merges(model)
+
+    def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
+        empty = pa.scalar("", pa.large_string())
+        ended = pc.binary_join_element_wise(texts.cast(pa.large_string()).fill_null(empty), empty, pa.scalar("\0", pa.large_string()))
+        ends = np.frombuffer(ended.buffers()[1], np.int64)[: len(ended) + 1]
+        raw = np.frombuffer(ended.buffers()[2] or b"", np.uint8)[: ends[-1]]
+        data, until, size = [], [ends[:1]], 0
+        for a, b in _windows(raw):
+            ids, upto = self._window(raw[a:b], ends[(ends > a) & (ends <= b)] - 1 - a, end_id)
+            data.append(ids)
+            until.append(upto + size)
+            size += len(ids)
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(np.concatenate(until)), pa.py_buffer(b"".join(data))]).cast(pa.binary())
+
+    def _window(self, raw: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[pa.Buffer, np.ndarray]:
+        """Ids of bytes of texts, and how many bytes of ids there are up to each of the texts' `ends`."""
+        low, kinds = _lowered(raw)
+        kinds[ends] = _END
+        odd_at, odd_ids = self._odd(raw, low, kinds)
+        cut = np.empty(len(kinds), bool)
+        cut[0] = True
+        np.not_equal(kinds[1:], kinds[:-1], out=cut[1:])
+        cut |= (kinds == _DIGIT) | (kinds == _END)
+        cut[odd_at] = True
+        start = np.flatnonzero(cut)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.append(start, len(raw))), pa.py_buffer(low)]).dictionary_encode()
+        values = self._values(pieces.dictionary, end_id)
+        index = pieces.indices.to_numpy().copy()
+        index[np.searchsorted(start, odd_at)] = len(values) + np.arange(len(odd_at))
+        found = pa.concat_arrays([values, pa.array(odd_ids, pa.large_binary())]).take(pa.array(index))
+        offsets = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1]
+        return (found.buffers()[2] or pa.py_buffer(b""))[: int(offsets[-1])], offsets[np.flatnonzero(kinds[start] == _END) + 1]
+
+    def _odd(self, raw: np.ndarray, low: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        """Where words between gaps begin that hold an odd byte, and their ids; leaves gaps in their place."""
+        odd = np.flatnonzero(kinds == _ODD)
+        if not len(odd):
+            return odd, []
+        gaps = np.flatnonzero((kinds == _GAP) | (kinds == _END))
+        after = np.unique(np.searchsorted(gaps, odd))
+        begins, ends = np.where(after > 0, gaps[after - 1] + 1, 0), gaps[after]
+        ids = []
+        for a, b in zip(begins.tolist(), ends.tolist()):
+            ids.append(self._encoder._word(raw[a:b].tobytes().decode()))
+            low[a:b], kinds[a:b] = 32, _GAP
+        return begins, ids
+
+    def _values(self, pieces: pa.Array, end_id: int) -> pa.Array:
+        """Ids of distinct pieces."""
+        offsets = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1)
+        data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+        first, sizes = data[offsets[:-1]], np.diff(offsets)
+        words = (first != 0) & (first != 32) & (first != 10)
+        done = self._merges.encode(data, offsets, np.flatnonzero(words & (sizes <= Merges.LONGEST)))
+        done += [(np.array([i]), np.frombuffer(self._encoder._piece(data[offsets[i] : offsets[i + 1]].tobytes().decode()), "<u2")[None]) for i in np.flatnonzero(words & (sizes > Merges.LONGEST))]
+        done.append((np.flatnonzero(first == 0), np.full((int((first == 0).sum()), 1), end_id)))
+        counts = np.zeros(len(pieces) + 1, np.int64)
+        for which, ids in done:
+            counts[which + 1] = ids.shape[1]
+        begin = np.cumsum(counts)
+        flat = np.zeros(begin[-1], "<u2")
+        for which, ids in done:
+            flat[begin[which][:, None] + np.arange(ids.shape[1])] = ids
+        return pa.Array.from_buffers(pa.large_binary(), len(pieces), [None, pa.py_buffer(2 * begin), pa.py_buffer(flat)])
+
+
 _ENCODERS: dict[int, Encoder] = {}
 
 
@@ -134,10 +347,8 @@ def _encoder(spec: str) -> Encoder:
 def _encoded(shared, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
-        end = np.array([end_id], encoder.dtype).tobytes()
         for batch in text_blocks(batches):
-            ids = [encoder.encode(t) + end for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": encoder.encode_all(batch.column("text"), end_id)})
 
     return run
 

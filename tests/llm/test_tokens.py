@@ -1,8 +1,10 @@
 """Token counts and files: equality with the libraries, exact round trips."""
 
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -39,6 +41,45 @@ def test_encoder_equals_library_on_any_text(text):
     assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == library(encoder, text)
 
 
+def by_library(encoder, texts, end=2):
+    return [np.array([*(library(encoder, t) if t else []), end], encoder.dtype).tobytes() for t in texts]
+
+
+LONG = ["a" * 63 + " " + "a" * 64 + " " + "a" * 65, "é" * 32 + " " + "É" * 33, "×a÷b Ã ã Ã́ ª µ", "a\0b \0 \0", "<|ENDOFTEXT|> <|endoftext|>", "z\u0301\nz \u0301", "aaaa abababab"]
+
+
+def test_columns_equal_library(encoder, monkeypatch):
+    texts = [None, *ODD, "", *LONG, None, "b " * 50, "c d"]
+    column = pa.array(texts, pa.string())
+    assert encoder.encode_all(column, 2).to_pylist() == by_library(encoder, texts)
+    assert encoder.encode_all(column.slice(3, 9), 2).to_pylist() == by_library(encoder, texts[3:12])
+    assert encoder.encode_all(column.slice(2, 0), 2).to_pylist() == [] and encoder.encode_all(pa.array([None, ""], pa.string()), 2).to_pylist() == by_library(encoder, ["", ""])
+    monkeypatch.setattr(tokenfile._windows, "__defaults__", (30,))
+    assert encoder.encode_all(column, 2).to_pylist() == by_library(encoder, texts)
+    plain = tokenfile.Encoder(open(public.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    assert plain._blocks is None and plain.encode_all(pa.array(["a b", None]), 7).to_pylist() == by_library(plain, ["a b", None], 7)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text("aeinst AÀÉßÿ×'.,-1<\n\t\u0301", max_size=40)), max_size=6))
+def test_columns_equal_library_on_any_text(texts):
+    encoder = tokenfile._encoder(WORD)
+    assert encoder.encode_all(pa.array(texts, pa.string()), 2).to_pylist() == by_library(encoder, texts)
+
+
+def test_new_words_take_no_call_each(monkeypatch):
+    """A corpus has new words without end; a call of the library for each took most of the CPU time."""
+    calls = []
+    monkeypatch.setattr(tokenfile.Encoder, "_piece", lambda self, piece, f=tokenfile.Encoder._piece: calls.append(piece) or f(self, piece))
+    monkeypatch.setattr(tokenfile, "_ENCODERS", {})
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("aeinorstéÜ"), 9)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1]), "text": pa.array([" ".join(words)])})
+    (got,) = tokenfile._encoded(SimpleNamespace(value=WORD), 2)([batch])
+    assert got.column("ids").to_pylist() == by_library(tokenfile._encoder(WORD), [" ".join(words)])
+    assert len(calls) < 30
+
+
 def test_byte_level_is_not_split_at_spaces():
     spec = open(public.path("byte_bpe_50k.json"), encoding="utf-8").read()
     e = tokenfile.Encoder(spec)
